@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, sharding, simhash
+from . import bpe, decontaminate, sharding, simhash, tokenfile
 
 
 def queries() -> dict:
     return {
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op4_sharding": sharding.op4_sharding,
+        "op6_token_files": tokenfile.op6_token_files,
         "op9_simhash": simhash.op9_simhash,
+        "op10_bpe": bpe.op10_bpe,
     }
 
 
