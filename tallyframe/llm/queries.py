@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, sharding, simhash, tokenfile
+from . import bpe, decontaminate, media, sharding, simhash, tokenfile
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op4_sharding": sharding.op4_sharding,
         "op6_token_files": tokenfile.op6_token_files,
+        "op7_media": media.op7_media,
         "op9_simhash": simhash.op9_simhash,
         "op10_bpe": bpe.op10_bpe,
     }
