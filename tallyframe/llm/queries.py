@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, media, sharding, simhash, tokenfile
+from . import bpe, decontaminate, media, sharding, simhash, suffix_dedup, tokenfile
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_sharding": sharding.op4_sharding,
         "op6_token_files": tokenfile.op6_token_files,
         "op7_media": media.op7_media,
+        "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
         "op9_simhash": simhash.op9_simhash,
         "op10_bpe": bpe.op10_bpe,
     }
