@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import column, id_text, load, utf8
+from .units import held, new_key
 
 #: Bytes of patterns in one automaton. A benchmark beyond that is scanned for in several passes.
 BLOCK_BYTES = 4_000_000
@@ -50,10 +51,10 @@ class Matcher:
 
     def __init__(self, patterns: dict[bytes, tuple[int, tuple[str, ...]]]):
         self.patterns = patterns
-        self.automaton = None
+        self.automaton, self.key = None, new_key()
 
     def __getstate__(self):
-        return {"patterns": self.patterns, "automaton": None}
+        return {"patterns": self.patterns, "automaton": None, "key": self.key}
 
     def build(self):
         import ahocorasick
@@ -113,8 +114,9 @@ def _scanner(matcher: Matcher):
     names = [f.name for f in kind.value_type]
 
     def scan(batches):
+        own = held(matcher)
         for batch in batches:
-            out = [matcher.scan(t) for t in batch.column(1).to_pylist()]
+            out = [own.scan(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, media, sharding, simhash, suffix_dedup, tokenfile
+from . import bpe, decontaminate, language_id, media, quality, sharding, simhash, suffix_dedup, tokenfile, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_quality": quality.op1_quality,
         "op2_decontaminate": decontaminate.op2_decontaminate,
+        "op3_language_id": language_id.op3_language_id,
         "op4_sharding": sharding.op4_sharding,
+        "op5_toxicity": toxicity.op5_toxicity,
         "op6_token_files": tokenfile.op6_token_files,
         "op7_media": media.op7_media,
         "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,

@@ -8,6 +8,7 @@ other text is cut by the pattern itself. Both give the ids that the whole text g
 from __future__ import annotations
 
 import re
+import uuid
 
 #: White space other than space and line feed, in the widest sense of any of the libraries.
 _OTHER = re.compile("[\t\x0b-\x1f\x85\xa0 ᠎ -​    　﻿]")
@@ -21,17 +22,49 @@ def spaced_pieces(text: str) -> list[str] | None:
     return pieces
 
 
+_HELD: dict[str, tuple[str, object]] = {}
+
+
+def held(model):
+    """The first copy of this model that arrived in this Python worker, so that tasks share what it remembers.
+
+    A model has a key that is made with it and travels with it. One model of each class is held.
+    """
+    kind = type(model).__name__
+    if _HELD.get(kind, ("", None))[0] != model.key:
+        _HELD[kind] = (model.key, model)
+    return _HELD[kind][1]
+
+
+#: Pieces in a generation of a memo: two generations take some 400 MB at most.
+REMEMBER = 1_200_000
+
+
+def new_key() -> str:
+    return uuid.uuid4().hex
+
+
 class Memo(dict):
-    """Remembers fn(piece) of short pieces, up to a bound, and forgets all beyond it."""
+    """Remembers fn(piece) of short pieces. Of two generations of at most ``most`` each, the older one goes when the younger
+    is full; what is used again moves to the younger."""
 
-    def __init__(self, fn, most: int = 400_000, longest: int = 48):
+    def __init__(self, fn, most: int = REMEMBER, longest: int = 48):
         super().__init__()
-        self.fn, self.most, self.longest = fn, most, longest
+        self.fn, self.most, self.longest, self.older = fn, most, longest, {}
 
     def __missing__(self, piece):
-        got = self.fn(piece)
+        got = self.older.get(piece)
+        if got is None:
+            got = self.fn(piece)
         if len(piece) <= self.longest:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = got
+            self.learn(piece, got)
         return got
+
+    def learn(self, piece, got) -> None:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = got
+
+    def knows(self, piece) -> bool:
+        return piece in self or piece in self.older
