@@ -1 +1 @@
-
+"""Reconciliation of several transcriptions of the same tables, on Spark DataFrames."""
