@@ -25,13 +25,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import id_text, load, utf8
+from .common import column, id_text, load, utf8
 from .suffix_sort import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 24
 #: Bytes of runs in a bucket, of text in one go, of runs in one block, and of runs that are sorted together.
-BUCKET_BYTES, PIECE_BYTES, BLOCK_BYTES, SORT_BYTES, HELD_BYTES = 24 << 20, 1 << 20, 12 << 20, 1 << 20, 96 << 20
+BUCKET_BYTES, PIECE_BYTES, BLOCK_BYTES, SORT_BYTES, HELD_BYTES = 16 << 20, 1 << 20, 16 << 20, 1 << 20, 48 << 20
+ZSTD_LEVEL = 6
 NULL_ID = -(2**63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,13 +64,13 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def runs_of(raw: np.ndarray, doc: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(start, windows, key, repeats) of the runs in raw; doc numbers the text that each byte belongs to, ascending.
+    """(start, windows, key, repeats, place) of the runs in raw; doc numbers the text that each byte belongs to, ascending.
 
     repeats: whether the key's gram is at two places of a run, so that the run may repeat itself.
     """
     if len(raw) < length:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64), none.astype(bool)
+        return none, none, none.astype(np.uint64), none.astype(bool), none
     h = gram_hashes(raw, gram)
     w = length - gram + 1
     least = sliding(h, w, np.minimum)
@@ -86,7 +88,14 @@ def runs_of(raw: np.ndarray, doc: np.ndarray, length: int = LENGTH, gram: int =
     if len(twice):
         i = np.searchsorted(twice, starts)
         repeats = (i < len(twice)) & (twice[np.minimum(i, len(twice) - 1)] < ends + w)
-    return starts, ends - starts, least[starts], repeats
+    # the key's gram, as a place in the run's first window, from which the key can be computed again
+    key = least[starts]
+    at = np.searchsorted(chosen, starts)
+    open_ = np.flatnonzero(h[chosen[at]] != key) if len(starts) else at
+    while len(open_):
+        at[open_] += 1
+        open_ = open_[h[chosen[at[open_]]] != key[open_]]
+    return starts, ends - starts, key, repeats, chosen[at] - starts if len(starts) else starts
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -95,11 +104,27 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def gather(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, together: int = 1 << 20) -> np.ndarray:
+    """raw[starts[i] : starts[i] + sizes[i]] one behind the other; indices for about so many bytes exist at a time."""
+    ends = np.cumsum(sizes)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    a = 0
+    while a < len(starts):
+        done = int(ends[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + together)))
+        if b == a + 1:
+            out[done : ends[a]] = raw[starts[a] : starts[a] + sizes[a]]
+        else:
+            out[done : ends[b - 1]] = raw[_ragged(starts[a:b], sizes[a:b])]
+        a = b
+    return out
+
+
 class Runs:
     """Columns of runs, and their bytes one behind the other."""
 
-    def __init__(self, key, doc_id, tie, start, windows, repeats, raw, length):
-        self.key, self.doc_id, self.tie, self.start, self.windows, self.repeats, self.raw = key, doc_id, tie, start, windows, repeats, raw
+    def __init__(self, key, doc_id, tie, start, windows, repeats, place, raw, length):
+        self.key, self.doc_id, self.tie, self.start, self.windows, self.repeats, self.place, self.raw = key, doc_id, tie, start, windows, repeats, place, raw
         self.length = length
 
     def __len__(self):
@@ -111,38 +136,52 @@ class Runs:
 
     def take(self, at: np.ndarray) -> Runs:
         sizes = self.sizes
-        places = _ragged((np.cumsum(sizes) - sizes)[at], sizes[at])
-        return Runs(*(c[at] for c in (self.key, self.doc_id, self.tie, self.start, self.windows, self.repeats)), self.raw[places], self.length)
+        raw = gather(self.raw, (np.cumsum(sizes) - sizes)[at], sizes[at])
+        return Runs(*(c[at] for c in (self.key, self.doc_id, self.tie, self.start, self.windows, self.repeats, self.place)), raw, self.length)
+
+    def slice(self, a: int, b: int, from_byte: int, to_byte: int) -> Runs:
+        cols = (self.key, self.doc_id, self.tie, self.start, self.windows, self.repeats, self.place)
+        return Runs(*(c[a:b] for c in cols), self.raw[from_byte:to_byte], self.length)
 
     @staticmethod
     def join(many: list[Runs]) -> Runs:
-        cols = ("key", "doc_id", "tie", "start", "windows", "repeats", "raw")
+        cols = ("key", "doc_id", "tie", "start", "windows", "repeats", "place", "raw")
         return Runs(*(np.concatenate([getattr(m, c) for m in many]) for c in cols), many[0].length)
 
     def pack(self) -> bytes:
+        """Compressed columns. A key travels as the place of its gram, a byte, and is computed again."""
         import zstandard
 
         docs, which = np.unique(np.stack([self.doc_id, self.tie]), axis=1, return_inverse=True)
-        head = np.array([len(self), docs.shape[1]], "<i8").tobytes()
+        wide = bool(len(self)) and int(max(self.start.max(), self.windows.max())) >= 2**31
+        n, number = len(self), "<u8" if wide else "<u4"
+        head = np.array([n, docs.shape[1], wide], "<i8").tobytes()
         body = [
-            head, np.ascontiguousarray(docs, "<i8").tobytes(), which.astype("<u4").tobytes(), self.key.astype("<u8").tobytes(),
-            self.start.astype("<i8").tobytes(), (self.windows * 2 + self.repeats).astype("<i8").tobytes(), self.raw.tobytes(),
+            head, np.ascontiguousarray(docs, "<i8").tobytes(), which.astype("<u4").tobytes(), self.place.tobytes(),
+            self.start.astype(number).tobytes(), (self.windows * 2 + self.repeats).astype(number).tobytes(), self.raw.tobytes(),
         ]
-        return zstandard.ZstdCompressor(level=1).compress(b"".join(body))
+        return zstandard.ZstdCompressor(level=ZSTD_LEVEL).compress(b"".join(body))
 
     @staticmethod
     def unpack(data, length: int) -> Runs:
         import zstandard
 
         raw = zstandard.ZstdDecompressor().decompress(data)
-        n, d = np.frombuffer(raw, "<i8", 2)
-        at = 16
+        n, d, wide = np.frombuffer(raw, "<i8", 3).tolist()
+        at, size = 24, 8 if wide else 4
         docs = np.frombuffer(raw, "<i8", 2 * d, at).reshape(2, d)
-        at += 16 * int(d)
+        at += 16 * d
         which = np.frombuffer(raw, "<u4", n, at)
-        at += 4 * int(n)
-        key, start, windows = (np.frombuffer(raw, k, n, at + 8 * int(n) * i) for i, k in enumerate(("<u8", "<i8", "<i8")))
-        return Runs(key, docs[0][which], docs[1][which], start, windows >> 1, (windows & 1).astype(bool), np.frombuffer(raw, np.uint8, offset=at + 24 * int(n)), length)
+        at += 4 * n
+        place = np.frombuffer(raw, np.uint8, n, at)
+        at += n
+        start, windows = (np.frombuffer(raw, f"<u{size}", n, at + size * n * i).astype(np.int64) for i in range(2))
+        text, windows, repeats = np.frombuffer(raw, np.uint8, offset=at + 2 * size * n), windows >> 1, (windows & 1).astype(bool)
+        sizes = windows + (length - 1)
+        key, grams = np.empty(n, np.uint64), np.cumsum(sizes) - sizes + place
+        for a in range(0, n, 20_000):
+            key[a : a + 20_000] = gram_hashes(text[grams[a : a + 20_000, None] + np.arange(GRAM)].T)[0]
+        return Runs(key, docs[0][which], docs[1][which], start, windows, repeats, place, text, length)
 
 
 def _pieces(raw: bytes, length: int):
@@ -151,20 +190,20 @@ def _pieces(raw: bytes, length: int):
         yield a, raw[a : a + PIECE_BYTES + length - 1]
 
 
-def text_runs(texts: list[tuple[int, int, bytes]], length: int) -> Runs | None:
-    """Runs of (doc_id, tie, bytes) texts."""
+def text_runs(texts: list[tuple[int, int, bytes]], length: int) -> list[Runs]:
+    """Runs of (doc_id, tie, bytes) texts, in parts of about PIECE_BYTES of text."""
     found, held, size = [], [], 0
 
     def flush():
         raw = np.frombuffer(b"".join(p for *_, p in held), np.uint8)
         sizes = np.array([len(p) for *_, p in held])
         doc = np.repeat(np.arange(len(held)), sizes)
-        starts, windows, key, repeats = runs_of(raw, doc, length)
+        starts, windows, key, repeats, place = runs_of(raw, doc, length)
         of = doc[starts]
         ids, ties, at = (np.array(x, np.int64) for x in zip(*((h[0], h[1], h[2]) for h in held)))
         begin = np.cumsum(sizes) - sizes
-        bytes_ = raw[_ragged(starts, windows + length - 1)]
-        found.append(Runs(key, ids[of], ties[of], starts - begin[of] + at[of], windows, repeats, bytes_, length))
+        bytes_ = gather(raw, starts, windows + length - 1)
+        found.append(Runs(key, ids[of], ties[of], starts - begin[of] + at[of], windows, repeats, place.astype(np.uint8), bytes_, length))
 
     for doc_id, tie, raw in texts:
         if len(raw) < length:
@@ -177,7 +216,7 @@ def text_runs(texts: list[tuple[int, int, bytes]], length: int) -> Runs | None:
                 held, size = [], 0
     if held:
         flush()
-    return Runs.join(found) if found else None
+    return found
 
 
 def merge_equal(runs: Runs, spans: list) -> Runs:
@@ -283,19 +322,28 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         from xxhash import xxh64_intdigest
 
         def emit(texts):
-            runs = text_runs(texts, length)
-            if runs is None:
-                return
-            to = (runs.key % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            runs, to = runs.take(order), to[order]
-            cuts = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1], [True])))
-            offsets = np.concatenate(([0], np.cumsum(runs.sizes)))
-            rows = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                cols = (runs.key, runs.doc_id, runs.tie, runs.start, runs.windows, runs.repeats)
-                rows.append(Runs(*(c[a:b] for c in cols), runs.raw[offsets[a] : offsets[b]], length).pack())
-            yield pa.RecordBatch.from_arrays([pa.array(to[cuts[:-1]]), pa.array(rows, pa.binary())], ["bucket", "block"])
+            by_bucket: dict[int, list[Runs]] = {}
+            for runs in text_runs(texts, length):
+                to = (runs.key % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                runs, to = runs.take(order), to[order]
+                cuts = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1], [True])))
+                offsets = np.concatenate(([0], np.cumsum(runs.sizes)))[cuts].tolist()
+                for a, b, x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), offsets, offsets[1:]):
+                    by_bucket.setdefault(int(to[a]), []).append(runs.slice(a, b, x, y))
+            ids, spans = sorted(by_bucket), []
+            for a in range(0, len(ids), 64):
+                rows = [merge_equal(Runs.join(by_bucket.pop(i)), spans).pack() for i in ids[a : a + 64]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + 64], pa.int64()), pa.array(rows, pa.binary())], ["bucket", "block"])
+            if spans:
+                yield from known([np.concatenate(c) for c in zip(*spans)])
+
+        def known(columns):
+            """Spans that are settled within a block travel with the runs, under numbers that no bucket has."""
+            data = np.stack([np.asarray(c, "<i8") for c in columns], axis=1)
+            for a in range(0, len(data), 50_000):
+                number = -1 - int((data[a, 0] ^ data[a, 2]) % buckets)
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([data[a : a + 50_000].tobytes()], pa.binary())], ["bucket", "block"])
 
         for batch in batches:
             seen: dict[bytes, int] = {}
@@ -320,9 +368,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     yield from emit(texts)
                     texts, size = [], 0
             yield from emit(texts)
-            if gone:  # whole copies; they travel with the blocks, marked by no bucket
-                data = np.array(gone, "<i8").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - (len(data) + gone[0][0]) % buckets]), pa.array([data], pa.binary())], ["bucket", "block"])
+            if gone:  # whole copies
+                ids_, ties, sizes = zip(*gone)
+                yield from known([ids_, ties, np.zeros(len(gone)), sizes])
 
     def find(batches):
         def rows(spans):
@@ -339,8 +387,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         while item is not None:
             bucket = item[0]
             if bucket < 0:
-                got = np.frombuffer(item[1], "<i8").reshape(-1, 3)
-                yield rows([(got[:, 0], got[:, 1], np.zeros(len(got), np.int64), got[:, 2])])
+                yield rows([np.frombuffer(item[1], "<i8").reshape(-1, 4).T])
                 item = next(stream, None)
                 continue
 
@@ -358,10 +405,34 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     return dealt.mapInArrow(find, "doc_id long, tie long, start long, end long")
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with two columns more: __starts and __ends, bounds of repeated spans, unordered and overlapping, or null."""
-    from .common import column
+def _compressed(docs: DataFrame, text_col: str) -> DataFrame:
+    """docs with the text column as compressed bytes, for a shuffle."""
+    names = docs.columns
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == text_col else f for f in docs.schema])
+
+    def run(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        at = names.index(text_col)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):
+                columns = list(batch.slice(a, 2000).columns)
+                columns[at] = pa.array([None if t is None else pack(utf8(t)) for t in columns[at].to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.mapInArrow(run, schema)
 
+
+def expanded(data: bytes | None) -> bytes | None:
+    import zstandard
+
+    return None if data is None else zstandard.ZstdDecompressor().decompress(data)
+
+
+def with_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with the text compressed (see expanded) and two columns more: __starts and __ends, bounds of repeated spans,
+    unordered and overlapping, or null."""
     found = repeated_spans(docs, length, id_col, text_col).groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"))
     lists = found.agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     lists = lists.select("__id", "__tie", F.col("__spans.start").alias("__starts"), F.col("__spans.end").alias("__ends"))
@@ -371,6 +442,7 @@ def with_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", te
             "__text_tie": F.xxhash64(F.coalesce(column(docs, text_col).cast("string"), F.lit(""))),
         }
     )
+    keyed = _compressed(keyed, text_col)
     joined = keyed.join(lists, (F.col("__doc_id") == F.col("__id")) & (F.col("__text_tie") == F.col("__tie")), "left")
     return joined.drop("__id", "__tie", "__doc_id", "__text_tie")
 
@@ -411,9 +483,8 @@ def on_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, i
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept): spans as array of [start, end), kept as binary."""
-    joined = with_spans(docs, length, id_col, text_col)
-    text = F.coalesce(joined["`" + text_col + "`"].cast("string"), F.lit("")).alias("text")
-    narrow = joined.select(joined["`" + id_col + "`"].cast("long").alias("doc_id"), text, "__starts", "__ends")
+    joined = with_spans(id_text(docs, id_col, text_col), length)
+    narrow = joined.select("doc_id", "text", "__starts", "__ends")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
@@ -422,7 +493,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 piece = batch.slice(a, 2000)
                 n, spans, kept = [], [], []
                 for text, starts, ends in zip(*(c.to_pylist() for c in piece.columns[1:])):
-                    raw = utf8(text)
+                    raw = expanded(text) or b""
                     cut = merge_spans(starts, ends, len(raw))
                     n.append(len(raw))
                     spans.append([{"start": x, "end": y} for x, y in cut])
