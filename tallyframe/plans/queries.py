@@ -73,7 +73,7 @@ def supporters(spark, sf_dir):
     return cells.select("record_id", "field", F.array_join(own, ",").alias("supporters")).where("supporters <> ''")
 
 
-@query("""SELECT v.k, v.field, count(DISTINCT concat(v.t, ':', v.s)) AS n_kinds, count(v.s) AS n_votes FROM val v GROUP BY v.k, v.field""")
+@query("""SELECT v.k, v.field, count(DISTINCT CASE WHEN v.s IS NOT NULL THEN concat(v.t, ':', v.s) END) AS n_kinds, count(v.s) AS n_votes FROM val v GROUP BY v.k, v.field""")
 def typed_vote(spark, sf_dir):
     rows = normalized_rows(feeds.engine_rows(spark, sf_dir), FIELDS, NORMALIZATION)
     long = rows.select(_k().alias("k"), F.explode("norm").alias("field", "c"))
