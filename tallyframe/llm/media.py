@@ -5,10 +5,10 @@ of that width: one byte a sample, lossless. The image's SHA-256 is its address a
 shard, digest, offset and length; metadata columns come from the first bytes of the stored file alone (``HEADER`` bytes,
 read as a range), the payload columns from a range read of the whole member.
 
-Images are made where the texts are read; equal texts of one batch make one image. Images are dealt out by digest, so
-each is stored once however many documents share it, and a text that a third of all rows hold arrives once a batch, not
-once a row. A shard is written to the shared folder under a name of its own for every attempt, and its index is written
-as a table, so lost executors leave unused files at most.
+Images are made and written where the texts are read, so no payload is shuffled. A partition stores equal texts once;
+where several partitions have the same text, the least of its places is its address, and the other copies, one a partition
+at most, are referred to by no row. Each attempt of a task writes to a shard of a name of its own in the shared folder, and
+the index of what was written is a table, so lost executors leave unused files at most.
 
 Defined results: a null text is empty and so WIDTH zero bytes; repeated rows each get a row, rows with a null id too; an
 empty table gives no shards and no rows; extra columns are not read.
@@ -125,43 +125,30 @@ class RangeReader:
 
 
 def store_media(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the shards and returns their index, a row for each digest and batch of documents."""
+    """Writes the shards and returns their index: a row for each digest and batch of documents, at the digest's address."""
 
-    def make(batches):
+    def write(batches):
+        shards, places = TarShards(folder), {}
         for batch in batches:
             for a in range(0, batch.num_rows, 2000):
-                piece = batch.slice(a, 2000)
                 groups: dict[bytes, list] = {}
-                for i, t in zip(*(c.to_pylist() for c in piece.columns)):
+                for i, t in zip(*(c.to_pylist() for c in batch.slice(a, 2000).columns)):
                     groups.setdefault(utf8(t), []).append(i)
-                images = [to_png(payload_of(t.decode("utf-8", "surrogatepass"))) for t in groups]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([hashlib.sha256(x).hexdigest() for x in images], pa.string()),
-                        pa.array(images, pa.binary()),
-                        pa.array([len(t) for t in groups], pa.int64()),
-                        pa.array(list(groups.values()), pa.list_(pa.int64())),
-                    ],
-                    ["digest", "image", "n_bytes", "doc_ids"],
-                )
-
-    def write(batches):
-        shards, last, place = TarShards(folder), None, None
-        for batch in batches:
-            out = []
-            for digest, image, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                if digest != last:
-                    place, last = shards.add(digest, image), digest
-                out.append((digest, *place, n, ids))
-            cols = list(zip(*out))
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            if cols:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["digest", "shard", "offset", "length", "n_bytes", "doc_ids"])
+                out = []
+                for raw, ids in groups.items():
+                    key = hashlib.sha256(raw).digest()
+                    if key not in places:
+                        image = to_png(payload_of(raw.decode("utf-8", "surrogatepass")))
+                        digest = hashlib.sha256(image).hexdigest()
+                        places[key] = (digest, *shards.add(digest, image))
+                    out.append((*places[key], len(raw), ids))
+                kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["digest", "shard", "offset", "length", "n_bytes", "doc_ids"])
         shards.close()
 
-    images = id_text(docs, id_col, text_col).mapInArrow(make, "digest string, image binary, n_bytes long, doc_ids array<long>")
-    written = images.repartition("digest").sortWithinPartitions("digest").mapInArrow(write, INDEX)
-    return materialize(written, "media-index")
+    written = materialize(id_text(docs, id_col, text_col).mapInArrow(write, INDEX), "media-index")
+    place = written.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("place"))
+    return written.select("digest", "n_bytes", "doc_ids").join(place, "digest").select("digest", "place.shard", "place.offset", "place.length", "n_bytes", "doc_ids")
 
 
 def media_header(index: DataFrame, folder: str) -> DataFrame:
@@ -208,8 +195,10 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     hadoop = jvm.org.apache.hadoop.fs.Path(folder)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
     index = store_media(load(spark, sf_dir, "documents"), folder)
-    near = index.repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
-    found = read_media(media_header(near, folder), folder)
+    places = index.select("digest", "shard", "offset", "length").distinct()
+    near = places.repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
+    media = read_media(media_header(near, folder), folder)
+    found = index.select("digest", "n_bytes", "doc_ids").join(media, "digest")
     feature = F.concat_ws(":", F.lit("png"), F.concat_ws("x", "width", "height"), "bits", "colour")
     return found.select(
         F.explode("doc_ids").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256",
