@@ -13,13 +13,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import id_text, load, utf8
-from .units import Memo, spaced_pieces
+from .units import REMEMBER, Memo, held, new_key, spaced_pieces
 
 #: Bytes of a rank file that may travel with the tasks.
 MAX_RANK_FILE = 64 << 20
@@ -94,15 +95,15 @@ class PerfectHash:
 
 
 class BytePairEncoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = REMEMBER):
         self.ranks, self.pattern, self.remember = ranks, pattern, remember
         self.keys = sorted(ranks, key=ranks.get)
         self.ids = [ranks[k] for k in self.keys]
         self.table = PerfectHash(self.keys)
-        self._ready = False
+        self._ready, self.key = False, new_key()
 
     def __getstate__(self):
-        state = {k: v for k, v in self.__dict__.items() if k in ("ranks", "pattern", "remember", "keys", "ids", "table")}
+        state = {k: v for k, v in self.__dict__.items() if k in ("ranks", "pattern", "remember", "keys", "ids", "table", "key")}
         return state | {"_ready": False}
 
     def _prepare(self):
@@ -114,8 +115,7 @@ class BytePairEncoder:
         for k, i in self.ranks.items():
             self._bytes[i] = k
         self._decimal = [str(i) for i in range(most + 1)]
-        self._after_space = Memo(lambda piece: self._unit(" " + piece), self.remember)
-        self._plain = Memo(self._unit, self.remember // 4)
+        self._memo = Memo(lambda pieces: [self._unit(" " + p) for p in pieces], self.remember)
         self._ready = True
 
     def pre_token(self, piece: bytes) -> list[int]:
@@ -125,43 +125,55 @@ class BytePairEncoder:
 
     def merge(self, piece: bytes) -> list[int]:
         """Lowest rank first, leftmost of equals, until no pair of neighbours is an entry."""
-        ranks, n = self.ranks, len(piece)
+        ranks, n = self.ranks.get, len(piece)
         part = [piece[i : i + 1] for i in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, pair) for i in range(n - 1) if (r := ranks.get(pair := piece[i : i + 2])) is not None]
+        pair = [ranks(piece[i : i + 2]) for i in range(n - 1)]  # rank of each part with the next one
+        pair.append(None)
+        heap = [r * n + i for i, r in enumerate(pair) if r is not None]
         heapq.heapify(heap)
+        push, pop = heapq.heappush, heapq.heappop
         while heap:
-            _, i, pair = heapq.heappop(heap)
-            left = part[i]
-            if left is None or (j := after[i]) >= n or len(left) + len(part[j]) != len(pair):
+            r, i = divmod(pop(heap), n)
+            if pair[i] != r:
                 continue  # one of the two has been merged since
-            part[i], part[j] = pair, None
+            j = after[i]
+            part[i] = both = part[i] + part[j]
+            part[j] = pair[j] = None
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (r := ranks.get(both := pair + part[k])) is not None:
-                    heapq.heappush(heap, (r, i, both))
-            if (h := before[i]) >= 0 and (r := ranks.get(both := part[h] + pair)) is not None:
-                heapq.heappush(heap, (r, h, both))
-        return [ranks[p] for p in part if p is not None]
+                pair[i] = r = ranks(both + part[k])
+                if r is not None:
+                    push(heap, r * n + i)
+            else:
+                pair[i] = None
+            h = before[i]
+            if h >= 0:
+                pair[h] = r = ranks(part[h] + both)
+                if r is not None:
+                    push(heap, r * n + h)
+        rank = self.ranks
+        return [rank[p] for p in part if p is not None]
 
     def _unit(self, text: str) -> bytes:
         out: list[int] = []
         for match in self._find(text):
             out += self.pre_token(utf8(match))
-        return np.array(out, "<u4").tobytes()
+        return struct.pack(f"<{len(out)}I", *out)
 
-    def encode_array(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self._ready:
             self._prepare()
-        pieces = spaced_pieces(text)
-        if pieces is None:
-            raw = b"".join(map(self._plain.__getitem__, self._find(text)))
-        else:
-            raw = self._plain[pieces[0]] + b"".join(map(self._after_space.__getitem__, pieces[1:]))
-        return np.frombuffer(raw, "<u4")
+        cut = [spaced_pieces(t) if t else None for t in texts]
+        out = []
+        for text, pieces, rest in zip(texts, cut, self._memo.all([p[1:] if p else [] for p in cut])):
+            raw = b"" if not text else self._unit(text) if pieces is None else b"".join([self._unit(pieces[0]), *rest])
+            out.append(np.frombuffer(raw, "<u4"))
+        return out
+
+    def encode_array(self, text: str | None) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_array(text).tolist()
@@ -185,8 +197,10 @@ def encode_documents(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_i
     """(doc_id, ids)."""
 
     def run(batches):
+        own = held(bpe)
         for batch in batches:
-            got = [bpe.encode_array(t) for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            got = [ids for a in range(0, len(texts), 64) for ids in own.encode_all(texts[a : a + 64])]
             offsets = np.concatenate(([0], np.cumsum([len(g) for g in got], dtype=np.int64))).astype(np.int32)
             flat = np.concatenate(got).astype(np.int32) if got else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "ids"])
@@ -198,8 +212,9 @@ def decode_documents(encoded: DataFrame, bpe: BytePairEncoder) -> DataFrame:
     """(doc_id, content) of (doc_id, ids); content is bytes, as ids may end within a character."""
 
     def run(batches):
+        own = held(bpe)
         for batch in batches:
-            got = [bpe.decode(ids or ()) for ids in batch.column(1).to_pylist()]
+            got = [own.decode(ids or ()) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], ["doc_id", "content"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, content binary")
@@ -209,13 +224,15 @@ def encoding_report(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id
     """Number of ids, digest of the ids and digest of the bytes that the ids decode to, in one scan."""
 
     def run(batches):
+        own = held(bpe)
         for batch in batches:
             n, ids_sha, back_sha = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = bpe.encode(text)
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(bpe.decimals(ids).encode()).hexdigest())
-                back_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+            for a in range(0, batch.num_rows, 64):
+                for got in own.encode_all(batch.column(1).slice(a, 64).to_pylist()):
+                    ids = got.tolist()
+                    n.append(len(ids))
+                    ids_sha.append(hashlib.sha256(own.decimals(ids).encode()).hexdigest())
+                    back_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, fold_column, load
+from .common import column, fold_column, id_text, load
+from .units import held, new_key
 
 SAMPLE_DOCS, SAMPLE_LETTERS, LEAST_BYTES = 64, 120_000, 100
 MAX_LANGUAGES = 200
@@ -70,7 +71,7 @@ class CrossParser:
     """Automata of several languages in one table. samples: text by language."""
 
     def __init__(self, samples: dict[str, str]):
-        self.languages = sorted(samples)
+        self.languages, self.key = sorted(samples), new_key()
         seen: dict[str, int] = {}
         for t in samples.values():
             for ch in t.lower():
@@ -193,19 +194,20 @@ def predict_language(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id
     """(doc_id, lang_pred, score, bits): bits a letter tells text of none of the languages from theirs."""
 
     def run(batches):
+        own = held(parser)
         for batch in batches:
             names, scores, bits = [], [], []
-            held, size = [], 0
+            texts, size = [], 0
 
             def flush():
-                n, s, b = parser.predict(held)
+                n, s, b = own.predict(texts)
                 names.extend(n)
                 scores.extend(s.tolist())
                 bits.extend(b.tolist())
-                held.clear()
+                texts.clear()
 
             for t in batch.column(1).to_pylist():
-                held.append(t)
+                texts.append(t)
                 size += len(t or "")
                 if size >= TOGETHER:
                     flush()
@@ -213,8 +215,6 @@ def predict_language(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id
             flush()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], ["doc_id", "lang_pred", "score", "bits"])
 
-    from .common import id_text
-
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, bits double")
 
 

@@ -22,26 +22,28 @@ _HEAD = struct.Struct("<4sIQIIQ")
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """(n, BLOCK) numbers below 2**width as (n, 2 * width) 64-bit words."""
-    out = np.zeros((len(values), BLOCK * width // 64), np.uint64)
+    """(n, BLOCK) numbers below 2**width as (n, 2 * width) 64-bit words. A place of all blocks at a time, side by side."""
+    places = np.ascontiguousarray(values.T, np.uint64)
+    out = np.zeros((BLOCK * width // 64, len(values)), np.uint64)
     for j in range(BLOCK if width else 0):
         word, off = divmod(j * width, 64)
-        out[:, word] |= values[:, j] << np.uint64(off)
+        out[word] |= places[j] << np.uint64(off)
         if off + width > 64:
-            out[:, word + 1] |= values[:, j] >> np.uint64(64 - off)
-    return out
+            out[word + 1] |= places[j] >> np.uint64(64 - off)
+    return np.ascontiguousarray(out.T)
 
 
 def _unpack(words: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros((len(words), BLOCK), np.uint64)
+    columns = np.ascontiguousarray(words.T)
+    out = np.zeros((BLOCK, len(words)), np.uint32)
     low = np.uint64((1 << width) - 1)
     for j in range(BLOCK if width else 0):
         word, off = divmod(j * width, 64)
-        got = words[:, word] >> np.uint64(off)
+        got = columns[word] >> np.uint64(off)
         if off + width > 64:
-            got = got | (words[:, word + 1] << np.uint64(64 - off))
-        out[:, j] = got & low
-    return out
+            got |= columns[word + 1] << np.uint64(64 - off)
+        out[j] = got & low
+    return np.ascontiguousarray(out.T)
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
@@ -49,7 +51,7 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     if not len(ids):
         return []
     n = -(-len(ids) // BLOCK)
-    full = np.full(n * BLOCK, ids[-1], np.uint64)
+    full = np.full(n * BLOCK, ids[-1], np.uint32)
     full[: len(ids)] = ids
     full = full.reshape(n, BLOCK)
     least = full.min(axis=1)
@@ -60,10 +62,10 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     for w in np.unique(widths).tolist():
         at = np.flatnonzero(widths == w)
         rows = rest[at]
-        high = (rows >> np.uint64(w)).astype("<u4")
-        words = _pack(rows & np.uint64((1 << w) - 1), w).astype("<u8")
+        high = rows >> np.uint32(w) if w < 32 else np.zeros_like(rows)
+        words = _pack(rows & np.uint32((1 << w) - 1), w)
         which, place = np.nonzero(high)
-        extra = high[which, place]
+        extra = high[which, place].astype("<u4")
         cut = np.searchsorted(which, np.arange(len(at) + 1))
         place = place.astype(np.uint8)
         for k, i in enumerate(at.tolist()):
@@ -76,13 +78,13 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     """All ids of the blocks at starts[:-1], with the last block's filling."""
     n = len(starts) - 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint32)
     raw = np.frombuffer(data, np.uint8)
     at = starts[:-1].astype(np.int64)
     head = raw[at[:, None] + np.arange(8)]
-    least = head[:, :4].copy().view("<u4")[:, 0].astype(np.uint64)
+    least = head[:, :4].copy().view("<u4")[:, 0]
     widths, counts = head[:, 4].astype(np.int64), head[:, 6:8].copy().view("<u2")[:, 0].astype(np.int64)
-    out = np.zeros((n, BLOCK), np.uint64)
+    out = np.zeros((n, BLOCK), np.uint32)
     for w in np.unique(widths).tolist():
         rows = np.flatnonzero(widths == w)
         size = BLOCK * w // 8
@@ -93,8 +95,8 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
         k = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         begin = (at + 8 + BLOCK * widths // 8)[which]
         place = raw[begin + k].astype(np.int64)
-        high = raw[(begin + counts[which] + 4 * k)[:, None] + np.arange(4)].copy().view("<u4")[:, 0].astype(np.uint64)
-        out[which, place] |= high << widths[which].astype(np.uint64)
+        high = raw[(begin + counts[which] + 4 * k)[:, None] + np.arange(4)].copy().view("<u4")[:, 0]
+        out[which, place] |= high << widths[which].astype(np.uint32)
     return (out + least[:, None]).reshape(-1)
 
 

@@ -1,9 +1,9 @@
 """Token ids of documents, in files of patched frame-of-reference segments in ascending doc_id order.
 
-Documents are encoded where they are read; only packed ids are shuffled, into doc_id ranges, and each range partition
-writes its stream as segments (see pfor) of whole documents, as binary values of a table in the shared folder: Spark's
+Documents are encoded where they are read; only their ids are shuffled, into doc_id ranges, and each range is written as a
+stream of segments (see pfor) of whole documents, as binary values of a table in the shared folder: Spark's
 committer makes a lost executor's partial output vanish, in any store. The number of ids before a document is the total of
-the partitions before its own (one small row each), plus the place that its segment's header gives, plus what stands
+the ranges before its own (one small row each), plus the place that its segment's header gives, plus what stands
 before it in the segment.
 
 Defined results: a null text is encoded as the empty one, so it has the end id alone; rows with a null id come first;
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import id_text, load, new_path
 from .pfor import read_segment, write_segment
-from .units import Memo, spaced_pieces
+from .units import REMEMBER, Memo, held, new_key, spaced_pieces
 
 SEGMENT_IDS = 1 << 17
 #: Bytes of a tokenizer's file that may travel with the tasks.
@@ -34,13 +34,13 @@ REPORT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 class LibraryEncoder:
     """Ids by the tokenizers library; equal pieces of text are given to it once, as long as they are remembered."""
 
-    def __init__(self, path: str, end_id: int, remember: int = 400_000):
+    def __init__(self, path: str, end_id: int, remember: int = REMEMBER):
         with open(path, encoding="utf-8") as f:
             self.definition = f.read(MAX_TOKENIZER)
-        self.end_id, self.remember, self.tokenizer = end_id, remember, None
+        self.end_id, self.remember, self.tokenizer, self.key = end_id, remember, None, new_key()
 
     def __getstate__(self):
-        return {"definition": self.definition, "end_id": self.end_id, "remember": self.remember, "tokenizer": None}
+        return {"definition": self.definition, "end_id": self.end_id, "remember": self.remember, "tokenizer": None, "key": self.key}
 
     def _prepare(self):
         import os
@@ -50,36 +50,41 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._after_space = Memo(lambda piece: self._unit(" " + piece), self.remember)
-        self._plain = Memo(self._unit, self.remember // 4)
+        vocabulary = self.tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # the byte-level mark of a space
+        self._memo = Memo(self._pieces, self.remember)
 
     def _unit(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Unknown pieces go to the library together."""
-        memo = self._after_space
-        new = [p for p in set(pieces) if p not in memo and len(p) <= memo.longest]
-        if len(memo) + len(new) > memo.most:
-            memo.clear()
-        for p, e in zip(new, self.tokenizer.encode_batch_fast([" " + p for p in new], add_special_tokens=False)):
-            memo[p] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The library gets the pieces as one text, a space before each. No id's bytes join two of them, and those of each
+        one's first id start with the space, which tells where a piece begins."""
+        if not pieces:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        starts = np.flatnonzero(self._spaced[ids])
+        if len(starts) != len(pieces):  # a vocabulary of another kind
+            raise ValueError("this tokenizer does not mark the start of words by a space")
+        raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode(self, texts: list[str | None], together: int = 128) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id behind."""
         if self.tokenizer is None:
             self._prepare()
         end, out = np.array([self.end_id], "<u4").tobytes(), []
-        for text in texts:
-            pieces = spaced_pieces(text) if text else None
-            if not text:
-                out.append(end)
-            elif pieces is None:
-                out.append(self._unit(text) + end)
-            else:
-                rest = pieces[1:]
-                self._learn(rest)
-                out.append(self._plain[pieces[0]] + b"".join(map(self._after_space.__getitem__, rest)) + end)
+        for at in range(0, len(texts), together):
+            some = texts[at : at + together]
+            cut = [spaced_pieces(t) if t else None for t in some]
+            for text, pieces, rest in zip(some, cut, self._memo.all([p[1:] if p else [] for p in cut])):
+                if not text:
+                    out.append(end)
+                elif pieces is None:
+                    out.append(self._unit(text) + end)
+                else:
+                    out.append(b"".join([self._unit(pieces[0]), *rest, end]))
         return out
 
 
@@ -87,44 +92,53 @@ def write_token_files(docs: DataFrame, encoder: LibraryEncoder, path: str, id_co
     """Writes (part, segment, n_ids, payload) to path."""
 
     def encode(batches):
+        own = held(encoder)
         for batch in batches:
             ids = batch.column(0).fill_null(NULL_ID)
+            part = np.searchsorted(bounds, ids.to_numpy(zero_copy_only=False), side="right").astype(np.int32)
             for a in range(0, batch.num_rows, 1000):
-                got = encoder.encode(batch.column(1).slice(a, 1000).to_pylist())
-                small = [_shrunk(g) for g in got]
-                yield pa.RecordBatch.from_arrays([ids.slice(a, 1000), pa.array(small, pa.binary())], ["doc_id", "ids"])
+                small = [_shrunk(g) for g in own.encode(batch.column(1).slice(a, 1000).to_pylist())]
+                yield pa.RecordBatch.from_arrays([ids.slice(a, 1000), pa.array(small, pa.binary()), pa.array(part[a : a + 1000])], ["doc_id", "ids", "part"])
 
     def segments(batches):
         part, number, first = None, 0, 0
         doc_ids: list[int] = []
-        held: list[np.ndarray] = []
+        arrays: list[np.ndarray] = []
         size = 0
 
         def flush():
             nonlocal number, first, size
-            payload = write_segment(doc_ids, [len(h) for h in held], np.concatenate(held), first)
+            payload = write_segment(doc_ids, [len(x) for x in arrays], np.concatenate(arrays), first)
             row = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([size], pa.int64()), pa.array([payload], pa.binary())],
                 ["part", "segment", "n_ids", "payload"],
             )
             number, first, size = number + 1, first + size, 0
             doc_ids.clear()
-            held.clear()
+            arrays.clear()
             return row
 
         for batch in batches:
             for i, raw, p in zip(*(c.to_pylist() for c in batch.columns)):
-                part = p
+                if p != part:
+                    if arrays:
+                        yield flush()
+                    part, number, first = p, 0, 0
                 doc_ids.append(i)
-                held.append(_grown(raw))
-                size += len(held[-1])
+                arrays.append(_grown(raw))
+                size += len(arrays[-1])
                 if size >= segment_ids:
                     yield flush()
-        if held:
+        if arrays:
             yield flush()
 
-    encoded = id_text(docs, id_col, text_col).mapInArrow(encode, "doc_id long, ids binary")
-    dealt = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").withColumn("part", F.spark_partition_id())
+    narrow = id_text(docs, id_col, text_col)
+    # bounds of the ranges come from the ids alone: a sample of what is dealt out would encode all texts once more
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = narrow.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], max(10_000, 20 * parts)).alias("b")).first().b
+    bounds = np.array(sorted(set(cuts or [])), np.int64)
+    encoded = narrow.mapInArrow(encode, "doc_id long, ids binary, part int")
+    dealt = encoded.repartition("part").sortWithinPartitions("part", "doc_id", "ids")
     packed = dealt.mapInArrow(segments, "part int, segment int, n_ids long, payload binary")
     packed.write.option("compression", "uncompressed").parquet(path)
 

@@ -249,13 +249,6 @@ class ToxicityModel:
         """Decision values of units of at most LONGEST letters."""
         return self.space.kernel(units, self.marks) @ self.beta + self.bias
 
-    def _learn(self, pieces: set[str]) -> None:
-        memo = self._memo
-        new = [p for p in pieces if not memo.knows(p) and len(p) <= memo.longest]
-        values = self._pieces(new)
-        for p, v in zip(new, values):
-            memo.learn(p, v)
-
     def _pieces(self, pieces: list[str]) -> list[float]:
         """The worst part of each piece; pieces of fewer than three letters say nothing."""
         parts = [(i, q) for i, p in enumerate(pieces) for q in parts_of(unit_of(p)) if len(q) > 2]
@@ -273,15 +266,13 @@ class ToxicityModel:
         if self.beta is None:
             return np.zeros(len(texts))
         if self._memo is None:
-            self._memo = Memo(lambda p: self._pieces([p])[0])
+            self._memo = Memo(self._pieces)
         out = np.full(len(texts), self.bias)
         for at in range(0, len(texts), together):
             low = [(t or "").lower() for t in texts[at : at + together]]
-            pieces = [t.split() + joined_units(t) for t in low]
-            self._learn(set().union(*pieces))
-            for i, p in enumerate(pieces):
-                if p:
-                    out[at + i] = max(map(self._memo.__getitem__, p))
+            for i, values in enumerate(self._memo.all([t.split() + joined_units(t) for t in low])):
+                if values:
+                    out[at + i] = max(values)
         return 1 / (1 + np.exp(-np.clip(self.slope * out + self.offset, -30, 30)))
 
     def sentences(self, text: str) -> list[tuple[str, float]]:

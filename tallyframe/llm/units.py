@@ -22,49 +22,64 @@ def spaced_pieces(text: str) -> list[str] | None:
     return pieces
 
 
-_HELD: dict[str, tuple[str, object]] = {}
+_HELD: dict[str, object] = {}
 
 
 def held(model):
     """The first copy of this model that arrived in this Python worker, so that tasks share what it remembers.
 
-    A model has a key that is made with it and travels with it. One model of each class is held.
+    A model has a key that is made with it and travels with it. Only the last one asked for is held, so that a worker that
+    goes from one job to another has room.
     """
-    kind = type(model).__name__
-    if _HELD.get(kind, ("", None))[0] != model.key:
-        _HELD[kind] = (model.key, model)
-    return _HELD[kind][1]
+    if model.key not in _HELD:
+        _HELD.clear()
+        _HELD[model.key] = model
+    return _HELD[model.key]
 
 
-#: Pieces in a generation of a memo: two generations take some 400 MB at most.
-REMEMBER = 1_200_000
+#: Pieces in a generation of a memo: two generations take some 180 MB at most.
+REMEMBER = 500_000
 
 
 def new_key() -> str:
     return uuid.uuid4().hex
 
 
-class Memo(dict):
-    """Remembers fn(piece) of short pieces. Of two generations of at most ``most`` each, the older one goes when the younger
-    is full; what is used again moves to the younger."""
-
-    def __init__(self, fn, most: int = REMEMBER, longest: int = 48):
-        super().__init__()
-        self.fn, self.most, self.longest, self.older = fn, most, longest, {}
-
-    def __missing__(self, piece):
-        got = self.older.get(piece)
-        if got is None:
-            got = self.fn(piece)
-        if len(piece) <= self.longest:
-            self.learn(piece, got)
-        return got
-
-    def learn(self, piece, got) -> None:
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self[piece] = got
-
-    def knows(self, piece) -> bool:
-        return piece in self or piece in self.older
+def _gaps(values: list) -> list[int]:
+    """Places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
+class Memo:
+    """Remembers many(pieces) of short pieces. Of two generations of at most ``most`` each, the older one goes when the
+    younger is full; what is used again moves to the younger. No value is None."""
+
+    def __init__(self, many, most: int = REMEMBER, longest: int = 48):
+        self.many, self.most, self.longest, self.young, self.older = many, most, longest, {}, {}
+
+    def all(self, groups: list[list]) -> list[list]:
+        """The value of every piece of every group. Unknown pieces of all groups are looked up together."""
+        get = self.young.get
+        out = [list(map(get, g)) for g in groups]
+        gaps = [_gaps(values) for values in out]
+        missing = {g[i] for g, at in zip(groups, gaps) for i in at}
+        if missing:
+            older = self.older
+            found = {p: older[p] for p in missing if p in older}
+            new = [p for p in missing if p not in found]
+            found.update(zip(new, self.many(new)))
+            for g, values, at in zip(groups, out, gaps):
+                for i in at:
+                    values[i] = found[g[i]]
+            for p, v in found.items():
+                if len(p) <= self.longest:
+                    self.young[p] = v
+            if len(self.young) >= self.most:
+                self.older, self.young = self.young, {}
+        return out
