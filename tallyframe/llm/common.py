@@ -7,6 +7,7 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +46,13 @@ def column(df: DataFrame, name: str):
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def map_columns(df: DataFrame, run, schema: StructType) -> DataFrame:
+    """mapInArrow for tables with any names of columns: within run they are c0, c1, and so on."""
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    inner = StructType([StructField(f"c{k}", f.dataType, True) for k, f in enumerate(schema)])
+    return plain.mapInArrow(run, inner).toDF(*schema.names)
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text): all that the operators read, whatever else a table holds."""
     return df.select(column(df, id_col).cast("long").alias("doc_id"), column(df, text_col).cast("string").alias("text"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, id_text, load, utf8
+from .common import column, id_text, load, map_columns, utf8
 from .suffix_sort import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 24
@@ -419,9 +419,9 @@ def _compressed(docs: DataFrame, text_col: str) -> DataFrame:
             for a in range(0, batch.num_rows, 2000):
                 columns = list(batch.slice(a, 2000).columns)
                 columns[at] = pa.array([None if t is None else pack(utf8(t)) for t in columns[at].to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_columns(docs, run, schema)
 
 
 def expanded(data: bytes | None) -> bytes | None:
