@@ -80,3 +80,35 @@ def test_odd_tables(spark, data, size):
             assert docs.columns == ["doc_id", "text", "lang", "text.x", "__spans"]
     assert docs.count() <= len(rows)
     assert docs.where(F.col("doc_id").isNull()).count() <= 2
+
+
+def test_near_copies_by_shingles(spark, data):
+    """The near-dedup stage against brute force over all pairs: five-word shingles, Jaccard similarity 0.8 or more."""
+    from itertools import combinations
+
+    docs = common.load(spark, data, "documents")
+    before = as_rows(docs)
+    sets = {}
+    for i, r in before.items():
+        words = r.text.lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    label = {i: i for i in before}
+    for a, b in combinations(sorted(before), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if x == high else x for i, x in label.items()}
+    after = as_rows(pipeline.drop_near_duplicates(spark, docs, data))
+    assert set(after) == set(label.values()) and all(after[i] == before[i] for i in after)
+
+
+def test_near_copies_clear_of_others(spark):
+    """An edited copy at 0.82 goes and one at 0.7 stays."""
+    words = [f"w{k}" for k in range(304)]
+    close, far = list(words), list(words)
+    for k in range(6):
+        close[20 + 40 * k] = "x"
+    for k in range(11):
+        far[10 + 25 * k] = "y"
+    rows = [(1, " ".join(words)), (2, " ".join(close)), (3, " ".join(far)), (4, "w1 w2"), (5, ""), (6, None), (7, "")]
+    got = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in got.collect()} == {1, 3, 4, 5}
