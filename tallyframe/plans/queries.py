@@ -132,6 +132,13 @@ def alias_collisions(spark, sf_dir):
     return collisions(rows, FIELDS, Normalization(aliases={"note": "label", "item_name": "label"}))
 
 
+@query("SELECT engine_id || ':' || CAST(k AS VARCHAR) AS row_uid, 'label' AS field, 2 AS n FROM feed")
+def alias_collisions_all(spark, sf_dir):
+    from ..operators.normalize import Normalization
+
+    return collisions(feeds.engine_rows(spark, sf_dir), FIELDS, Normalization(aliases={"note": "label", "item_name": "label"}))
+
+
 @query("SELECT field, count(*) AS n_missing FROM val WHERE s IS NULL GROUP BY field")
 def missing_sentinel(spark, sf_dir):
     rows = normalized_rows(feeds.engine_rows(spark, sf_dir), FIELDS, NORMALIZATION)
@@ -166,6 +173,13 @@ def natural_section_order(spark, sf_dir):
     return pages.orderBy(text.natural_key(F.col("page_id"))).limit(25)
 
 
+@query("SELECT page_id, row_number() OVER (ORDER BY p) AS n FROM (SELECT DISTINCT CONCAT('page-', CAST(k // 50 AS VARCHAR)) AS page_id, k // 50 AS p FROM feed)")
+def natural_section_rank(spark, sf_dir):
+    pages = feeds.engine_rows(spark, sf_dir).select("page_id").distinct()
+    ordered = pages.orderBy(text.natural_key(F.col("page_id")), "page_id").select("page_id")
+    return spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (r[0].page_id, r[1] + 1)), "page_id string, n long")
+
+
 # -- admission
 
 
@@ -308,6 +322,14 @@ def event_locator(spark, sf_dir):
     return decisions.locate(events.unionByName(lost).drop("_k"), records)
 
 
+@query("SELECT concat('ev-', CAST(k AS VARCHAR)) AS event_id, 'item_name' AS field, CAST(1 AS BIGINT) AS n_records, record_id FROM ids UNION ALL SELECT 'lost', 'item_name', 0, NULL")
+def event_locator_all(spark, sf_dir):
+    records = feeds.records(spark, sf_dir)
+    events = _events(spark, records, "choose_candidate", ["item_name"])
+    lost = events.limit(1).withColumns({"event_id": F.lit("lost"), "page_id": F.lit("nowhere")})
+    return decisions.locate(events.unionByName(lost).drop("_k"), records)
+
+
 @query("""SELECT concat('ev-', CAST(c.k AS VARCHAR)) AS source_decision_id, c.cell_id, a.s AS chosen, CASE WHEN c.status IN ('unanimous', 'majority') THEN 'already_resolved' END AS violation
 FROM cell c JOIN val a ON a.k = c.k AND a.field = c.field AND a.engine_id = 'alpha' WHERE c.field = 'item_name'""")
 def compile_choose(spark, sf_dir):
@@ -513,3 +535,13 @@ def unresolved_cells(spark, sf_dir):
 def stream_position(spark, sf_dir):
     w = Window.partitionBy("engine_id").orderBy("pos")
     return feeds.engine_rows(spark, sf_dir).select("engine_id", _k().alias("k"), F.row_number().over(w).cast("long").alias("n")).where("n <= 50")
+
+
+@query("SELECT engine_id, k, row_number() OVER (PARTITION BY engine_id ORDER BY k) AS n FROM feed")
+def stream_position_all(spark, sf_dir):
+    """Places within blocks of a stream, then what the blocks before hold: no stream is in one task."""
+    rows = feeds.engine_rows(spark, sf_dir).select("engine_id", "pos", _k().alias("k"), F.floor(F.col("pos") / 65536).alias("block"))
+    before = Window.partitionBy("engine_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("engine_id", "block").agg(F.count("*").alias("size")).select("engine_id", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("engine_id", "block").orderBy("pos")))
+    return placed.join(blocks, ["engine_id", "block"]).select("engine_id", "k", (F.col("place") + F.col("before")).cast("long").alias("n"))

@@ -196,3 +196,15 @@ def test_query_matches_sql(spark, data, name):
     plain = lambda v: float(v) if isinstance(v, Decimal) else v
     want = sorted((tuple(plain(r[i]) for i in at) for r in theirs.fetchall()), key=repr)
     assert sorted((tuple(plain(r[n]) for n in names) for r in df.collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("name", ("alias_collisions_all", "event_locator_all", "stream_position_all", "natural_section_rank"))
+def test_whole_query_matches_sql(spark, data, name):
+    """All of the feed, not the part that the query of the shorter name returns."""
+    test_query_matches_sql(spark, data, name)
+    from tallyframe.plans import feeds
+    from tallyframe.plans.queries import QUERIES
+
+    rows = feeds.engine_rows(spark, data)
+    whole = {"event_locator_all": rows.where("engine_id = 'alpha'").count() + 1, "natural_section_rank": rows.select("page_id").distinct().count()}
+    assert QUERIES[name](spark, data).count() == whole.get(name, rows.count())
