@@ -97,6 +97,15 @@ def normalize_whitespace(spark, sf_dir):
     return rows.select("conv_id", "turn", text.collapse_whitespace(F.col("text")).alias("collapsed"), text.remove_whitespace(F.col("text")).alias("removed"))
 
 
+_BLANK = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(f"SELECT conv_id, turn, trim(regexp_replace(text, '{_BLANK}', ' ', 'g')) AS collapsed, regexp_replace(text, '{_BLANK}', '', 'g') AS removed FROM conversations", feed=False)
+def normalize_whitespace_all(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return rows.select("conv_id", "turn", text.collapse_whitespace(F.col("text")).alias("collapsed"), text.remove_whitespace(F.col("text")).alias("removed"))
+
+
 @query("""SELECT o_orderkey, replace(concat(o_orderpriority, '|', o_orderstatus), '–', '-') AS a, translate(replace(o_orderpriority, '-', '—'), '‐‑‒–—−', '------') AS b FROM orders""", feed=False)
 def normalize_dashes(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")

@@ -208,3 +208,22 @@ def test_whole_query_matches_sql(spark, data, name):
     rows = feeds.engine_rows(spark, data)
     whole = {"event_locator_all": rows.where("engine_id = 'alpha'").count() + 1, "natural_section_rank": rows.select("page_id").distinct().count()}
     assert QUERIES[name](spark, data).count() == whole.get(name, rows.count())
+
+
+def test_whitespace_of_all_conversations(spark, data, tmp_path):
+    """All rows, those beyond ASCII too, as Python's str methods and as the SQL of the query."""
+    import duckdb
+
+    from tallyframe.plans.queries import QUERIES, SQL
+
+    blanks = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    odd = [(-1, k, "user", f"{b}é{b}{b}x {b}") for k, b in enumerate([*blanks, "\u200b", "\ufeff", "\u180e"])] + [(-1, 99, "user", None)]
+    table = spark.read.parquet(f"{data}/conversations.parquet")
+    both = table.select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame(odd, "conv_id long, turn long, role string, text string"))
+    both.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = {(r.conv_id, r.turn, r.collapsed, r.removed) for r in QUERIES["normalize_whitespace_all"](spark, str(tmp_path)).collect()}
+    want = {(r.conv_id, r.turn, r.text and " ".join(r.text.split()), r.text and "".join(r.text.split())) for r in both.collect()}
+    assert rows == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert set(con.execute(SQL["normalize_whitespace_all"]).fetchall()) == want
