@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import column, id_text, load, utf8
 from .units import held, new_key
 
-#: Bytes of patterns in one automaton. A benchmark beyond that is scanned for in several passes.
+#: Bytes of patterns in one automaton. A benchmark beyond that is scanned for by several.
 BLOCK_BYTES = 4_000_000
 _KEEP = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORD = re.compile(rb"[^ ]+")
@@ -109,14 +109,17 @@ def matchers(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return [Matcher({key: (k, tuple(sorted(ids))) for key, (k, ids) in b.items()}) for b in blocks]
 
 
-def _scanner(matcher: Matcher):
+def _scanner(matchers: list[Matcher]):
     kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("first_word", "last_word", "byte_start", "byte_end", "char_start", "char_end")]))
     names = [f.name for f in kind.value_type]
 
     def scan(batches):
-        own = held(matcher)
+        own = [held(m) for m in matchers] if len(matchers) == 1 else matchers
         for batch in batches:
-            out = [own.scan(t) for t in batch.column(1).to_pylist()]
+            out = []
+            for t in batch.column(1).to_pylist():
+                found = [m.scan(t) for m in own]
+                out.append((found[0][0], sorted({i for f in found for i in f[1]}), [r for f in found for r in f[2]]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -133,36 +136,10 @@ def _scanner(matcher: Matcher):
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 8, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: n_words, ids of the items with occurring windows, and the hit runs with byte and character offsets.
 
-    No shuffle while the benchmark fits one automaton. Otherwise each block of it is one more pass over the documents, and
-    the passes meet by document.
+    No shuffle: each row is decided where it is read. Where the benchmark needs several automata, a worker holds them all.
     """
-    narrow = id_text(docs, id_col, text_col)
     found = matchers(benchmark, window=window, block_bytes=block_bytes)
-    if len(found) == 1:
-        return narrow.mapInArrow(_scanner(found[0]), SCHEMA)
-    # rows that repeat a doc_id with another text are told apart by the text's digest
-    keyed = narrow.withColumn("text_key", F.sha2(F.coalesce("text", F.lit("")), 256))
-    parts = None
-    for m in found:
-        one = _keyed_pass(keyed, m)
-        parts = one if parts is None else parts.unionByName(one)
-    grouped = parts.groupBy("doc_id", "text_key").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.flatten(F.collect_list("hits")).alias("hits"),
-    )
-    return grouped.drop("text_key")
-
-
-def _keyed_pass(keyed: DataFrame, matcher: Matcher) -> DataFrame:
-    inner = _scanner(matcher)
-
-    def scan(batches):
-        for batch in batches:
-            for got in inner([batch]):
-                yield pa.RecordBatch.from_arrays([*got.columns, batch.column(2)], [*got.schema.names, "text_key"])
-
-    return keyed.mapInArrow(scan, SCHEMA + ", text_key string")
+    return id_text(docs, id_col, text_col).mapInArrow(_scanner(found), SCHEMA)
 
 
 def contamination_report(found: DataFrame, min_items: int = 2) -> DataFrame:

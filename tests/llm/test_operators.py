@@ -378,3 +378,14 @@ def test_queries_are_registered():
     names = entry.queries()
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
     assert "pipeline" in names
+
+
+def test_decontaminate_repeats(spark):
+    """Repeated rows, null ids and null and empty texts each give a row, however many automata there are."""
+    benchmark = spark.createDataFrame([(k, f"alpha{k} beta{k} gamma{k}") for k in range(20)], "item_id long, text string")
+    text = "x alpha3 beta3 gamma3 y alpha7 beta7 gamma7"
+    repeated = [(1, text), (1, text), (None, text), (None, text), (2, None), (2, ""), (2, None), (3, "alpha3")]
+    table = spark.createDataFrame(repeated, "doc_id long, text string")
+    assert len(decontaminate.matchers(benchmark, block_bytes=60)) > 2
+    one, many = (rows(decontaminate.contamination_report(decontaminate.find_contamination(table, benchmark, block_bytes=n))) for n in (4_000_000, 60))
+    assert len(many) == len(repeated) and many == one
