@@ -5,7 +5,7 @@ phrase is the longest match from where the last one ended. A phrase costs log2 o
 that needs the fewest bits a letter wins (ties: the first in order of names).
 
 Texts are lower-cased; letters stay, everything else becomes one space; letters that no sample has match nothing. Automata
-are dense tables of transitions, and all documents of a batch advance a letter at a time together, in numpy. Texts over
+are tables of transitions, dense for the commonest letters and sparse for the others, and all documents of a batch advance a letter at a time together, in numpy. Texts over
 ``BLOCK`` letters are parsed block by block and the phrases added up, which costs a phrase a block and keeps memory and
 the number of steps the same for any length; all letters count.
 
@@ -29,12 +29,14 @@ from .units import held, new_key
 
 SAMPLE_DOCS, SAMPLE_LETTERS, LEAST_BYTES = 64, 120_000, 100
 MAX_LANGUAGES = 200
+#: Codes with a column in the dense table; letters beyond, the rarest of the samples, have sparse transitions.
+DENSE = 255
 BLOCK, TOGETHER = 2048, 8 << 20
 _SPACE = 1
 
 
-def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
-    """Transitions (state, code) -> state, or -1; state 0 is the root."""
+def automaton_moves(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions of each state: code -> state; state 0 is the root."""
     to: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -60,10 +62,20 @@ def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(to), alphabet), -1, np.int32)
+    return to
+
+
+def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
+    """Transitions (state, code) -> state, or -1, of the codes below alphabet; state 0 is the root."""
+    return dense(automaton_moves(codes), alphabet)
+
+
+def dense(to: list[dict[int, int]], width: int) -> np.ndarray:
+    table = np.full((len(to), width), -1, np.int32)
     for state, moves in enumerate(to):
         for c, t in moves.items():
-            table[state, c] = t
+            if c < width:
+                table[state, c] = t
     return table
 
 
@@ -77,30 +89,39 @@ class CrossParser:
             for ch in t.lower():
                 if ch.isalpha():
                     seen[ch] = seen.get(ch, 0) + 1
-        letters = sorted(seen, key=lambda ch: (-seen[ch], ch))[:253]
+        letters = sorted(seen, key=lambda ch: (-seen[ch], ch))
         self.alphabet = len(letters) + 2
+        self.width = min(self.alphabet, DENSE)
+        kind = np.min_scalar_type(self.alphabet - 1)
         # 0: a letter of no sample; 1: no letter
-        self.codes = np.fromiter((0 if chr(i).isalpha() else _SPACE for i in range(0x110000)), np.uint8, 0x110000)
+        self.codes = np.fromiter((0 if chr(i).isalpha() else _SPACE for i in range(0x110000)), kind, 0x110000)
         for k, ch in enumerate(letters):
             self.codes[ord(ch)] = k + 2
-        tables, roots, self.bits, at = [np.full((1, self.alphabet), -1, np.int32)], [], [], 1
-        for name in self.languages:
+        tables, self.bits, at = [np.full((1, self.width), -1, np.int32)], [], 1
+        self.start = np.zeros((len(self.languages), self.alphabet), np.int32)
+        rare: list[tuple[int, int]] = []
+        for k, name in enumerate(self.languages):
             codes, _, _ = self.letters([samples[name]])
-            table = suffix_automaton([c for c in codes.tolist() if c], self.alphabet)
+            to = automaton_moves([c for c in codes.tolist() if c])
+            table = dense(to, self.width)
             table[table >= 0] += at
             tables.append(table)
-            roots.append(table[0])
+            for c, t in to[0].items():
+                self.start[k, c] = at + t
+            if self.width < self.alphabet:
+                rare += [((at + x) * self.alphabet + c, at + t) for x, moves in enumerate(to) for c, t in moves.items() if c >= self.width]
             at += len(table)
             self.bits.append(float(np.log2(len(codes) + 2)))
         self.table = np.concatenate(tables).ravel()  # state 0 has no moves at all: every text starts there
-        self.start = np.array(roots, np.int32).reshape(len(roots), self.alphabet)
-        self.start[self.start < 0] = 0
+        rare.sort()
+        self.rare_keys = np.array([r[0] for r in rare], np.int64)
+        self.rare_to = np.array([r[1] for r in rare], np.int32)
 
     def letters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes of the texts, runs of spaces made one, none at the ends; where each text's codes end; number of letters of each."""
         points = [np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
         sizes = np.array([len(p) for p in points], np.int64)
-        codes = self.codes[np.concatenate(points)] if points else np.zeros(0, np.uint8)
+        codes = self.codes[np.concatenate(points)] if points else np.zeros(0, self.codes.dtype)
         of = np.repeat(np.arange(len(points)), sizes)
         space = codes == _SPACE
         keep = np.ones(len(codes), bool)
@@ -131,7 +152,7 @@ class CrossParser:
         count = np.zeros((languages, n), np.int32)
         if n:
             steps = int(size[0])
-            grid = np.zeros((n, steps), np.uint8)
+            grid = np.zeros((n, steps), codes.dtype)
             grid[np.arange(steps) < size[:, None]] = codes[np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)]
             grid = np.ascontiguousarray(grid.T)
             active = np.searchsorted(-size, -np.arange(steps), side="left")  # how many are longer than t
@@ -139,7 +160,10 @@ class CrossParser:
             for t in range(steps):
                 a = int(active[t])
                 c = grid[t, :a]
-                got = self.table.take(state[:, :a] * np.int32(self.alphabet) + c)
+                if len(self.rare_keys):
+                    got = self.moves(state[:, :a], c)
+                else:
+                    got = self.table.take(state[:, :a] * np.int32(self.width) + c)
                 new = got < 0
                 count[:, :a] += new
                 state[:, :a] = np.where(new, self.start[:, c], got)
@@ -147,11 +171,25 @@ class CrossParser:
         np.add.at(out, of, count.T)
         return out
 
+    def moves(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Next states where some letters are beyond the dense table: theirs are looked up by state and code."""
+        beyond = np.flatnonzero(c >= self.width)
+        got = self.table.take(state.astype(np.int64) * self.width + np.where(c < self.width, c, 0))
+        if len(beyond):
+            key = state[:, beyond].astype(np.int64) * self.alphabet + c[beyond]
+            at = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
+            got[:, beyond] = np.where(self.rare_keys[at] == key, self.rare_to[at], -1)
+        return got
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score (1 less the best's share of the second's bits) and bits a letter of each text."""
+        return self.judge(texts)[:3]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What predict gives, then of each text: bits of a phrase in its language, letters, and letters its language's sample lacks."""
         codes, ends, letters = self.letters([t or "" for t in texts])
         if not self.languages:
-            return ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+            return ["und"] * len(texts), *(np.zeros(len(texts)) for _ in range(3)), letters, letters
         bits = self.phrases(codes, ends) * np.array(self.bits)
         best = bits.argmin(axis=1)
         least = bits.min(axis=1)
@@ -162,7 +200,9 @@ class CrossParser:
         with np.errstate(divide="ignore", invalid="ignore"):
             score = np.where(has, np.clip(1 - least / second, 0, 1), 0.0)
             each = np.where(has, least / np.maximum(letters, 1), 0.0)
-        return [self.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist())], score, each
+        of = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+        strange = np.bincount(of[(codes != _SPACE) & (self.start[best[of], codes] == 0)], minlength=len(texts))
+        return [self.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist())], score, each, np.array(self.bits)[best], letters, strange
 
 
 def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_letters: int = SAMPLE_LETTERS) -> CrossParser:

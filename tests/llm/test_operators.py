@@ -389,3 +389,29 @@ def test_decontaminate_repeats(spark):
     assert len(decontaminate.matchers(benchmark, block_bytes=60)) > 2
     one, many = (rows(decontaminate.contamination_report(decontaminate.find_contamination(table, benchmark, block_bytes=n))) for n in (4_000_000, 60))
     assert len(many) == len(repeated) and many == one
+
+
+def test_language_of_many_letters():
+    """Each letter of the samples counts, however many there are, and a parse is the same as by dense tables."""
+    rng = random.Random(5)
+    han = [chr(0x4E00 + k) for k in range(3000)]
+    common_words = ["".join(rng.choices(han, k=2)) for _ in range(3000)]
+    samples = {"zz": "the quick brown fox jumps over the lazy dog " * 20, "han": " ".join(common_words)}
+    parser = language_id.CrossParser(samples)
+    assert parser.alphabet > 2000
+    held_out = ["".join(rng.choices(common_words, k=40)) for _ in range(20)]
+    got = [*held_out, "the lazy fox", "a", "бвгд жзик"]
+    lang, _, bits = parser.predict(got)
+    assert lang[:20] == ["han"] * 20 and lang[20:22] == ["zz"] * 2 and max(bits[:20]) < 9
+
+    def brute(text, sample):
+        n, at = 0, 0
+        while at < len(text):
+            k = 1
+            while at + k < len(text) and text[at : at + k + 1] in sample:
+                k += 1
+            n, at = n + 1, at + k
+        return n
+
+    codes, ends, _ = parser.letters(held_out)
+    assert parser.phrases(codes, ends)[:, 0].tolist() == [brute(t, samples["han"]) for t in held_out]

@@ -112,3 +112,15 @@ def test_near_copies_clear_of_others(spark):
     rows = [(1, " ".join(words)), (2, " ".join(close)), (3, " ".join(far)), (4, "w1 w2"), (5, ""), (6, None), (7, "")]
     got = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r.doc_id for r in got.collect()} == {1, 3, 4, 5}
+
+
+def test_languages_of_many_letters_stay(spark):
+    """Texts in a language of thousands of letters and very short ones stay; a script of no sample goes."""
+    import random
+
+    rng = random.Random(3)
+    han = [chr(0x4E00 + k) for k in range(2500)]
+    rows = [(k, "".join(rng.choices(han, k=300)), "zh") for k in range(40)] + [(100 + k, "the quick brown fox jumps over the lazy dog " * 5, "en") for k in range(40)]
+    rows += [(200, "a", None), (201, "бвгджзик лмнопрст", None), (202, "12 34", None)]
+    got = pipeline.keep_known_languages(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert {r[0] for r in rows} - {r.doc_id for r in got.collect()} == {201, 202}
