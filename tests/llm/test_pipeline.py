@@ -124,3 +124,12 @@ def test_languages_of_many_letters_stay(spark):
     rows += [(200, "a", None), (201, "бвгджзик лмнопрст", None), (202, "12 34", None)]
     got = pipeline.keep_known_languages(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
     assert {r[0] for r in rows} - {r.doc_id for r in got.collect()} == {201, 202}
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    """Each group of near copies keeps a row, whatever ids the rows share."""
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    rows = [(1, one), (5, one.upper()), (5, two), (5, three), (5, three), (7, two + " end"), (8, None), (8, "")]
+    got = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    kept = sorted((r.doc_id, (r.text or "")[:2]) for r in got.collect())
+    assert kept == [(1, "a0"), (5, "b0"), (5, "c0"), (8, "")]
