@@ -13,20 +13,23 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from xxhash import xxh3_128_intdigest
 
-from .common import id_text, load, utf8
-from .units import REMEMBER, Memo, held, new_key, spaced_pieces
+from .common import id_text, load, settle, utf8
+from .units import REMEMBER, Memo, encode_texts, held, new_key, slices
 
 #: Bytes of a rank file that may travel with the tasks.
 MAX_RANK_FILE = 64 << 20
 _MASK = (1 << 64) - 1
 _STEP_INT = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_STEP_INT)
+#: Over any id; ids of two neighbours make one key.
+_WIDE = 1 << 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -78,8 +81,6 @@ class PerfectHash:
         self.displace, self.slots = displace.tolist(), slots.tolist()
 
     def _hash(self, key: bytes) -> tuple[int, int, int]:
-        from xxhash import xxh3_128_intdigest
-
         h = xxh3_128_intdigest(key)
         return h % self.buckets, h >> 64, (h & _MASK) | 1
 
@@ -96,6 +97,8 @@ class PerfectHash:
 
 class BytePairEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = REMEMBER):
+        if lost := [i for i in range(256) if bytes([i]) not in ranks]:
+            raise ValueError(f"the vocabulary lacks single bytes: {lost[:5]}")
         self.ranks, self.pattern, self.remember = ranks, pattern, remember
         self.keys = sorted(ranks, key=ranks.get)
         self.ids = [ranks[k] for k in self.keys]
@@ -115,7 +118,14 @@ class BytePairEncoder:
         for k, i in self.ranks.items():
             self._bytes[i] = k
         self._decimal = [str(i) for i in range(most + 1)]
-        self._memo = Memo(lambda pieces: [self._unit(" " + p) for p in pieces], self.remember)
+        self._byte = [self.ranks[bytes([i])] for i in range(256)]
+        # what two ids merge to; both halves of an entry are entries, or they never meet
+        get = self.ranks.get
+        self._merged = {
+            left * _WIDE + right: r for k, r in self.ranks.items() for i in range(1, len(k))
+            if (left := get(k[:i])) is not None and (right := get(k[i:])) is not None
+        }
+        self._memo = Memo(self._units, self.remember)
         self._ready = True
 
     def pre_token(self, piece: bytes) -> list[int]:
@@ -125,58 +135,57 @@ class BytePairEncoder:
 
     def merge(self, piece: bytes) -> list[int]:
         """Lowest rank first, leftmost of equals, until no pair of neighbours is an entry."""
-        ranks, n = self.ranks.get, len(piece)
-        part = [piece[i : i + 1] for i in range(n)]
+        if not self._ready:
+            self._prepare()
+        merged, n = self._merged.get, len(piece)
+        part = [self._byte[b] for b in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [ranks(piece[i : i + 2]) for i in range(n - 1)]  # rank of each part with the next one
+        pair = [merged(a * _WIDE + b) for a, b in zip(part, part[1:])]  # rank of each part with the next one
         pair.append(None)
-        heap = [r * n + i for i, r in enumerate(pair) if r is not None]
+        bits = n.bit_length()  # a heap's number is a rank and, in its low bits, a place
+        low = (1 << bits) - 1
+        heap = [r << bits | i for i, r in enumerate(pair) if r is not None]
         heapq.heapify(heap)
         push, pop = heapq.heappush, heapq.heappop
         while heap:
-            r, i = divmod(pop(heap), n)
+            top = pop(heap)
+            r, i = top >> bits, top & low
             if pair[i] != r:
                 continue  # one of the two has been merged since
             j = after[i]
-            part[i] = both = part[i] + part[j]
-            part[j] = pair[j] = None
+            part[i], part[j], pair[j] = r, -1, None
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                pair[i] = r = ranks(both + part[k])
-                if r is not None:
-                    push(heap, r * n + i)
+                pair[i] = new = merged(r * _WIDE + part[k])
+                if new is not None:
+                    push(heap, new << bits | i)
             else:
                 pair[i] = None
             h = before[i]
             if h >= 0:
-                pair[h] = r = ranks(part[h] + both)
-                if r is not None:
-                    push(heap, r * n + h)
-        rank = self.ranks
-        return [rank[p] for p in part if p is not None]
-
-    def _unit(self, text: str) -> bytes:
-        out: list[int] = []
-        for match in self._find(text):
-            out += self.pre_token(utf8(match))
-        return struct.pack(f"<{len(out)}I", *out)
-
-    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        if not self._ready:
-            self._prepare()
-        cut = [spaced_pieces(t) if t else None for t in texts]
+                pair[h] = new = merged(part[h] * _WIDE + r)
+                if new is not None:
+                    push(heap, new << bits | h)
+        return [p for p in part if p >= 0]
+
+    def _units(self, pieces: list[bytes]) -> list[bytes]:
         out = []
-        for text, pieces, rest in zip(texts, cut, self._memo.all([p[1:] if p else [] for p in cut])):
-            raw = b"" if not text else self._unit(text) if pieces is None else b"".join([self._unit(pieces[0]), *rest])
-            out.append(np.frombuffer(raw, "<u4"))
+        for piece in pieces:
+            ids: list[int] = []
+            for match in self._find(piece.decode("utf-8", "surrogatepass")):
+                ids += self.pre_token(utf8(match))
+            out.append(array("I", ids).tobytes())
         return out
 
-    def encode_array(self, text: str | None) -> np.ndarray:
-        return self.encode_all([text])[0]
+    def encode_arrow(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one behind the other, and the number of ids up to each text's end."""
+        if not self._ready:
+            self._prepare()
+        return encode_texts(texts, self._memo)
 
     def encode(self, text: str | None) -> list[int]:
-        return self.encode_array(text).tolist()
+        return self.encode_arrow(pa.array([text], pa.string()))[0].tolist()
 
     def decode(self, ids) -> bytes:
         if not self._ready:
@@ -199,11 +208,11 @@ def encode_documents(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_i
     def run(batches):
         own = held(bpe)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            got = [ids for a in range(0, len(texts), 64) for ids in own.encode_all(texts[a : a + 64])]
-            offsets = np.concatenate(([0], np.cumsum([len(g) for g in got], dtype=np.int64))).astype(np.int32)
-            flat = np.concatenate(got).astype(np.int32) if got else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "ids"])
+            for a, n in slices(batch.column(1)):
+                ids, ends = own.encode_arrow(batch.column(1).slice(a, n))
+                offsets = np.concatenate(([0], ends)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))], ["doc_id", "ids"])
+        settle()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -226,17 +235,19 @@ def encoding_report(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id
     def run(batches):
         own = held(bpe)
         for batch in batches:
-            n, ids_sha, back_sha = [], [], []
-            for a in range(0, batch.num_rows, 64):
-                for got in own.encode_all(batch.column(1).slice(a, 64).to_pylist()):
-                    ids = got.tolist()
-                    n.append(len(ids))
+            for a, rows in slices(batch.column(1)):
+                flat, ends = own.encode_arrow(batch.column(1).slice(a, rows))
+                flat, ends = flat.tolist(), ends.tolist()
+                ids_sha, back_sha = [], []
+                for start, end in zip([0, *ends], ends):
+                    ids = flat[start:end]
                     ids_sha.append(hashlib.sha256(own.decimals(ids).encode()).hexdigest())
                     back_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, rows), pa.array(np.diff(ends, prepend=0)), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+        settle()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -67,6 +67,18 @@ def fold_column(col, folds: int):
     return F.crc32(col.cast("string").cast("binary")) % folds
 
 
+def settle() -> None:
+    """Gives memory that a Python worker has freed back to the system; Spark keeps workers for the tasks to come."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc has it
+        trim(0)
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 bytes; a null text has none."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

@@ -65,7 +65,7 @@ class Features:
         tokens = _TOKEN.findall(text if isinstance(text, bytes) else utf8(text))
         if not tokens:
             return np.zeros(0, np.int64), np.zeros(0)
-        both = np.array(self.memo.all([tokens])[0], np.uint64)
+        both = np.array(self.memo.all(tokens), np.uint64)
         word, shape = both & np.uint64(0xFFFFFFFF), both >> np.uint64(32)
         same = word[1:] == word[:-1]
         pair = np.where(same, np.uint64(7), word[:-1] * _A + word[1:])

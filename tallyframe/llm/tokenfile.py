@@ -7,27 +7,34 @@ the ranges before its own (one small row each), plus the place that its segment'
 before it in the segment.
 
 Defined results: a null text is encoded as the empty one, so it has the end id alone; rows with a null id come first;
-repeated rows are written each; ties are ordered by their ids; an empty table gives no files and no rows; extra columns
+repeated rows are written each; ties are ordered by a hash of their ids and then by these; very long texts are encoded whole,
+a segment holds whole documents; an empty table gives no files and no rows; extra columns
 are not read.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, load, new_path
+from .common import id_text, load, new_path, settle
 from .pfor import read_segment, write_segment
-from .units import REMEMBER, Memo, held, new_key, spaced_pieces
+from .units import REMEMBER, Memo, encode_texts, held, new_key, slices
 
 SEGMENT_IDS = 1 << 17
 #: Bytes of a tokenizer's file that may travel with the tasks.
 MAX_TOKENIZER = 64 << 20
 NULL_ID = -(2**63)
+#: White space, in UTF-8, in the widest sense of any of the libraries.
+_WHITE = re.compile(
+    rb"[\t-\r\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8b\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
+)
 REPORT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -36,7 +43,9 @@ class LibraryEncoder:
 
     def __init__(self, path: str, end_id: int, remember: int = REMEMBER):
         with open(path, encoding="utf-8") as f:
-            self.definition = f.read(MAX_TOKENIZER)
+            self.definition = f.read(MAX_TOKENIZER + 1)
+        if len(self.definition) > MAX_TOKENIZER:
+            raise ValueError(f"{path} is over {MAX_TOKENIZER} characters")
         self.end_id, self.remember, self.tokenizer, self.key = end_id, remember, None, new_key()
 
     def __getstate__(self):
@@ -51,106 +60,131 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab()
-        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        most = max(self.end_id, *vocabulary.values())
+        #: Bytes of an id on its way to a file.
+        self.width = 2 if most < 1 << 16 else 4
+        self._spaced = np.zeros(most + 1, bool)
         self._spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # the byte-level mark of a space
         self._memo = Memo(self._pieces, self.remember)
 
-    def _unit(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """The library gets the pieces as one text, a space before each. No id's bytes join two of them, and those of each
-        one's first id start with the space, which tells where a piece begins."""
-        if not pieces:
-            return []
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-        starts = np.flatnonzero(self._spaced[ids])
-        if len(starts) != len(pieces):  # a vocabulary of another kind
-            raise ValueError("this tokenizer does not mark the start of words by a space")
-        raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-
-    def encode(self, texts: list[str | None], together: int = 128) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, the end id behind."""
+    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The library gets the pieces that are a space and a word as one text. No id's bytes join two of them, and those of
+        each one's first id start with the space, which tells where a piece begins. Other pieces are texts of their own."""
+        words, others = [], []
+        for i, p in enumerate(pieces):
+            rest = p[1:]
+            (words if p[:1] == b" " and rest and (rest.isalnum() or not _WHITE.search(rest)) else others).append(i)
+        out: list[bytes] = [b""] * len(pieces)
+        if words:
+            text = b"".join([pieces[i] for i in words]).decode("utf-8", "surrogatepass")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(self._spaced[ids])
+            if len(starts) != len(words):  # a vocabulary of another kind
+                raise ValueError("this tokenizer does not mark the start of words by a space")
+            raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+            for i, a, b in zip(words, cuts, cuts[1:]):
+                out[i] = raw[a:b]
+        texts = [pieces[i].decode("utf-8", "surrogatepass") for i in others]
+        for i, found in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else ()):
+            out[i] = array("I", found.ids).tobytes()
+        return out
+
+    def encode_arrow(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one text behind the other, each with the end id, and the number of ids up to each text's end."""
         if self.tokenizer is None:
             self._prepare()
-        end, out = np.array([self.end_id], "<u4").tobytes(), []
-        for at in range(0, len(texts), together):
-            some = texts[at : at + together]
-            cut = [spaced_pieces(t) if t else None for t in some]
-            for text, pieces, rest in zip(some, cut, self._memo.all([p[1:] if p else [] for p in cut])):
-                if not text:
-                    out.append(end)
-                elif pieces is None:
-                    out.append(self._unit(text) + end)
-                else:
-                    out.append(b"".join([self._unit(pieces[0]), *rest, end]))
-        return out
+        ids, ends = encode_texts(texts, self._memo)
+        out = np.full(len(ids) + len(ends), self.end_id, np.uint32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))] = ids
+        return out, ends + np.arange(1, len(ends) + 1)
+
 
+def part_of(cuts: np.ndarray, ids: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Number of the range that each id is in. An id that is a cut several times fills as many ranges, dealt out by tie (a
+    fraction of 1), so that one id with many rows is not one task."""
+    left, right = np.searchsorted(cuts, ids, side="left"), np.searchsorted(cuts, ids, side="right")
+    many = right - left
+    return np.where(many > 1, left + 1 + np.minimum((tie * many).astype(np.int64), many - 1), right).astype(np.int32)
 
-def write_token_files(docs: DataFrame, encoder: LibraryEncoder, path: str, id_col: str = "doc_id", text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> None:
+
+def write_token_files(docs: DataFrame, encoder: LibraryEncoder, path: str, id_col: str = "doc_id", text_col: str = "text", segment_ids: int = SEGMENT_IDS, parts: int | None = None) -> None:
     """Writes (part, segment, n_ids, payload) to path."""
 
     def encode(batches):
+        from xxhash import xxh3_64_intdigest
+
         own = held(encoder)
         for batch in batches:
-            ids = batch.column(0).fill_null(NULL_ID)
-            part = np.searchsorted(bounds, ids.to_numpy(zero_copy_only=False), side="right").astype(np.int32)
-            for a in range(0, batch.num_rows, 1000):
-                small = [_shrunk(g) for g in own.encode(batch.column(1).slice(a, 1000).to_pylist())]
-                yield pa.RecordBatch.from_arrays([ids.slice(a, 1000), pa.array(small, pa.binary()), pa.array(part[a : a + 1000])], ["doc_id", "ids", "part"])
+            for a, n in slices(batch.column(1)):
+                ids = batch.column(0).slice(a, n).fill_null(NULL_ID)
+                flat, ends = own.encode_arrow(batch.column(1).slice(a, n))
+                raw = flat.astype(f"<u{own.width}")
+                at = (np.concatenate(([0], ends)) * own.width).astype(np.int32)
+                view = memoryview(raw).cast("B")
+                tie = np.array([xxh3_64_intdigest(view[x:y]) >> 1 for x, y in zip(at.tolist(), at[1:].tolist())], np.int64)
+                part = part_of(cuts, ids.to_numpy(zero_copy_only=False), tie / 2.0**63)
+                small = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(at), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([ids, small, pa.array(part), pa.array(tie)], ["doc_id", "ids", "part", "tie"])
+        settle()
 
     def segments(batches):
-        part, number, first = None, 0, 0
-        doc_ids: list[int] = []
-        arrays: list[np.ndarray] = []
-        size = 0
+        part, number, first, size = None, 0, 0, 0
+        held_: list[tuple] = []
 
         def flush():
             nonlocal number, first, size
-            payload = write_segment(doc_ids, [len(x) for x in arrays], np.concatenate(arrays), first)
+            doc_ids, lengths, ids = (np.concatenate([h[k] for h in held_]) for k in range(3))
+            payload = write_segment(doc_ids, lengths, ids, first)
             row = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([size], pa.int64()), pa.array([payload], pa.binary())],
                 ["part", "segment", "n_ids", "payload"],
             )
             number, first, size = number + 1, first + size, 0
-            doc_ids.clear()
-            arrays.clear()
+            held_.clear()
             return row
 
         for batch in batches:
-            for i, raw, p in zip(*(c.to_pylist() for c in batch.columns)):
-                if p != part:
-                    if arrays:
+            doc_ids, parts_ = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
+            flat, ends = _flat(batch.column(1), width)
+            lengths = np.diff(ends, prepend=0)
+            stops = [*(np.flatnonzero(np.diff(parts_)) + 1).tolist(), len(parts_)]
+            a = 0
+            while a < len(parts_):
+                if parts_[a] != part:
+                    if held_:
                         yield flush()
-                    part, number, first = p, 0, 0
-                doc_ids.append(i)
-                arrays.append(_grown(raw))
-                size += len(arrays[-1])
+                    part, number, first = int(parts_[a]), 0, 0
+                before = int(ends[a - 1]) if a else 0
+                full = int(np.searchsorted(ends, before + segment_ids - size)) + 1  # with it the segment is full
+                b = min(full, next(s for s in stops if s > a))
+                held_.append((doc_ids[a:b], lengths[a:b], flat[before : ends[b - 1]]))
+                size += int(ends[b - 1]) - before
                 if size >= segment_ids:
                     yield flush()
-        if arrays:
+                a = b
+        if held_:
             yield flush()
+        settle()
 
     narrow = id_text(docs, id_col, text_col)
-    # bounds of the ranges come from the ids alone: a sample of what is dealt out would encode all texts once more
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = narrow.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], max(10_000, 20 * parts)).alias("b")).first().b
-    bounds = np.array(sorted(set(cuts or [])), np.int64)
-    encoded = narrow.mapInArrow(encode, "doc_id long, ids binary, part int")
-    dealt = encoded.repartition("part").sortWithinPartitions("part", "doc_id", "ids")
+    # cuts of the ranges come from the ids alone: a sample of what is dealt out would encode all texts once more
+    parts = parts or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = F.coalesce("doc_id", F.lit(NULL_ID))
+    found = narrow.agg(F.percentile_approx(known, [k / parts for k in range(1, parts)] or [0.5], max(10_000, 20 * parts)).alias("b")).first().b
+    cuts = np.array(sorted(found or []), np.int64)
+    encoder._prepare()
+    width = encoder.width
+    encoded = narrow.mapInArrow(encode, "doc_id long, ids binary, part int, tie long")
+    dealt = encoded.repartition("part").sortWithinPartitions("part", "doc_id", "tie", "ids").select("doc_id", "ids", "part")
     packed = dealt.mapInArrow(segments, "part int, segment int, n_ids long, payload binary")
     packed.write.option("compression", "uncompressed").parquet(path)
 
 
-def _shrunk(raw: bytes) -> bytes:
-    """A width of 2 bytes where all ids allow it, and the ids."""
-    ids = np.frombuffer(raw, "<u4")
-    return b"\x02" + ids.astype("<u2").tobytes() if ids.max() < 65536 else b"\x04" + raw
-
-
-def _grown(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1)
+def _flat(ids: pa.BinaryArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column, one row behind the other, and the number of ids up to each row's end."""
+    offsets = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 4 * ids.offset).astype(np.int64)
+    flat = np.frombuffer(ids.buffers()[2], f"<u{width}", int(offsets[-1] - offsets[0]) // width, int(offsets[0]))
+    return flat, (offsets[1:] - offsets[0]) // width
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -162,6 +196,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         before += r["n"]
 
     def report(batches):
+        # one segment at a time, each freed before the next
         for batch in batches:
             for part, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
                 doc_ids, lengths, ids, first = read_segment(payload.as_buffer().to_pybytes())
