@@ -6,10 +6,10 @@ its own; all hashed to ``2**bits`` places. A place's value is 1 + log of its cou
 score is a sparse dot product with the weights, put through the logistic function.
 
 Training: per-coordinate FTRL-proximal, one row at a time, over a sample of at most ``max_rows`` labelled rows (chosen by
-hash of the id) and ``max_bytes`` of the text of each; both are parameters. Scoring reads whole texts.
+hash of the id) with ``max_bytes`` of whole texts together; both are parameters. Scoring reads whole texts.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone; rows that repeat are scored
-each; labelled rows without a text count as empty; with no labels the score is 0.5 everywhere; an empty table gives no
+each; very long texts are scored whole; labelled rows without a text count as empty; with no labels the score is 0.5 everywhere; an empty table gives no
 rows; extra columns are not read.
 """
 
@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, fold_column, id_text, load, utf8
-from .units import Memo, held, new_key
+from .common import column, fold_column, id_text, load, settle, utf8
+from .units import Memo, held, new_key, slices
 
-BITS, MAX_ROWS, MAX_BYTES, EPOCHS = 18, 4000, 20_000, 3
+BITS, MAX_ROWS, MAX_BYTES, EPOCHS = 18, 4000, 16 << 20, 3
 _TOKEN = re.compile(rb"[A-Za-z0-9_\x80-\xff]+|[^A-Za-z0-9_\x80-\xff\s]+")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -109,7 +109,7 @@ class QualityModel:
         self.features, self.weights, self.key = Features(bits), np.zeros((1 << bits) + 1), new_key()
 
     def fit(self, rows: list[tuple[bytes, int]], epochs: int = EPOCHS, seed: int = 7) -> QualityModel:
-        vectors = [(*self.features.vector(t), y) for t, y in rows]
+        vectors = [(at.astype(np.int32), x.astype(np.float32), y) for t, y in rows for at, x in [self.features.vector(t)]]
         learner = FollowTheLeader(1 << self.features.bits)
         rng = np.random.default_rng(seed)
         for _ in range(epochs):
@@ -124,14 +124,17 @@ class QualityModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted, max_rows: int | tuple[int, int], max_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[bytes, int]]:
-    """Texts and labels of at most max_rows rows, chosen by the hash of the id (or so many of label 0 and of label 1).
+    """Whole texts and labels of at most max_rows rows, chosen by the hash of the id (or so many of label 0 and of label 1),
+    and of these, in that order, as many as have max_bytes together.
 
-    Ids are chosen in the narrow table of labels; then only their texts are read, and max_bytes of each.
+    An id with both labels is left out; of the texts that share an id the one with the least hash counts, so that repeated
+    ids cost a row. Ids are chosen in the narrow table of labels, then texts by their sizes; only those are read and sent.
     """
     known = labels.select(column(labels, "doc_id").cast("long").alias("doc_id"), column(labels, label).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)")
     if wanted is not None:
         known = known.where(wanted)
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("y")]
+    known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("other")).where("y = other").select("doc_id", "y")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
     if isinstance(max_rows, tuple):
         picked = [r for y in (0, 1) for r in known.where(F.col("y") == y).orderBy(*order).limit(max_rows[y]).collect()]
     else:
@@ -139,10 +142,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted, max_
     by_id = {r.doc_id: r.y for r in picked}
     if not by_id:
         return []
-    ids = docs.sparkSession.createDataFrame([(i,) for i in by_id], "doc_id long")
-    narrow = id_text(docs, id_col, text_col).select("doc_id", F.substring(F.coalesce("text", F.lit("")).cast("binary"), 1, max_bytes).alias("raw"))
-    found = narrow.join(F.broadcast(ids), "doc_id").limit(4 * len(by_id)).collect()
-    return [(bytes(r.raw), by_id[r.doc_id]) for r in sorted(found, key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.raw))]
+    spark = docs.sparkSession
+    text = F.coalesce("text", F.lit(""))
+    narrow = id_text(docs, id_col, text_col).select("doc_id", text.cast("binary").alias("raw"), F.xxhash64(text).alias("hash"))
+    ids = spark.createDataFrame([(i,) for i in by_id], "doc_id long")
+    sizes = narrow.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("hash", F.octet_length("raw").alias("n"))).alias("first"))
+    chosen, total = [], 0
+    for r in sorted(sizes.select("doc_id", "first.*").collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):
+        if total + r.n <= max_bytes:
+            total += r.n
+            chosen.append((r.doc_id, r["hash"]))
+    if not chosen:
+        return []
+    few = F.broadcast(spark.createDataFrame(chosen, "doc_id long, hash long"))
+    found = narrow.join(few, ["doc_id", "hash"]).groupBy("doc_id", "hash").agg(F.min("raw").alias("raw")).collect()
+    return [(bytes(r.raw), by_id[r.doc_id]) for r in sorted(found, key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))]
 
 
 def score_documents(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,8 +165,9 @@ def score_documents(docs: DataFrame, model, id_col: str = "doc_id", text_col: st
     def run(batches):
         own = held(model)
         for batch in batches:
-            scores = [own.score(t) for t in batch.column(1).to_pylist()]
+            scores = [own.score(t) for a, n in slices(batch.column(1)) for t in batch.column(1).slice(a, n).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+        settle()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 

@@ -1,83 +1,163 @@
-"""Toxicity: a support vector machine with a gap-weighted subsequence kernel and Nystroem landmarks.
-
-The unit that is compared is a word, in lower case and without anything but letters, so inserted signs fall away; runs of
-pieces of one or two characters are joined to a unit of their own ("i d i o t"). The kernel of two units sums, over all
-subsequences of three letters that both have, decay to the power of the letters that each spans (``SPAN`` at most), over
-the units' own norms: inserted or left-out letters cost some similarity, not all.
-
-The kernel is the ``POWER``-th power of that (a kernel again), which sets likeness of a few letters apart from likeness of
-most. Landmarks are units of the training rows. A unit's Nystroem features are its kernels with the landmarks times the
-inverse root of the landmarks' own kernel matrix; a linear support vector machine (squared hinge loss, solved by Newton's
-method) is trained on them.
-
-Training data are the sentences of labelled rows. Clean rows' units are clean. Toxic units are found as a cover: of the
-units that no clean row has, the one that most toxic rows share, then the one that most of the rest share, and so on;
-units that several toxic rows share which are no copies of each other join them. Each also trains with ``VARIANTS`` copies that have one more letter somewhere. Clean units
-that are most like toxic ones always take part. A text's score is that of its worst sentence, and so of its worst unit, put
-through a logistic function fitted on the training rows. Training reads at most ``MAX_TOXIC`` and ``MAX_CLEAN`` rows of
-either label, chosen by hash of the id, and ``MAX_BYTES`` of each; all are parameters. Scoring reads whole texts.
-
-Defined results: a text without letters gets the lowest score there is; a null text is empty; repeated rows are scored
-each; with no toxic or no clean labels all scores are 0; an empty table gives no rows; extra columns are not read.
+"""Toxicity: a support vector machine with a gap-weighted subsequence kernel and Nystroem landmarks, on sentences.
+
+A sentence is compared by its units: its words in lower case, without signs at either end, and runs of three pieces or more
+of one or two characters ("i d i o t"). The kernel of two units sums, over all subsequences of three letters that both have,
+decay to the power of the characters that each spans (``SPAN`` at most), over the units' own norms. Characters that are no
+letters match nothing but count in a span, as other letters in between do, so inserted signs, spaces and letters cost some
+similarity, not all. The ``POWER``-th power of that (a kernel again) sets likeness of a few letters apart from likeness of
+most; what is under ``FAINT`` then counts as nothing.
+
+Landmarks are units of training sentences: those that tell the sentences of toxic rows from those of clean ones best by their
+log-likelihood, no two of them alike, and the clean units most like these. A sentence's kernel with a landmark is the largest
+of its units'; times the inverse root of the landmarks' own kernel matrix these are its Nystroem features. On them a linear
+support vector machine (squared hinge loss, solved by Newton's method) is trained with the labelled rows' sentences: those of
+clean rows are clean; of a toxic row's, those are toxic that the machine itself takes for it, or the one nearest to it, in
+``ROUNDS`` rounds. Copies of the telling units with one more letter or with spaces between their letters train along, with
+``VARIED`` of the toxic sentences' weight. A text's score is a logistic function of its three worst sentences, of the sum of
+their values over 0, and of its number of sentences.
+
+Training reads at most ``MAX_TOXIC`` and ``MAX_CLEAN`` rows of either label, chosen by hash of the id, and of these whole
+texts up to ``MAX_BYTES`` in all; these are parameters. Scoring reads whole texts.
+
+Defined results: null and empty texts and texts without letters have one sentence without units; very long texts are scored
+whole, in bounded slices; repeated rows are scored each; with no toxic or no clean labels all scores are 0; an empty table
+gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_column, id_text, load
+from .common import fold_column, id_text, load, settle
 from .quality import labelled_sample
-from .units import Memo, held, new_key
+from .units import Memo, as_bytes, held, new_key, slices
 
-MAX_TOXIC, MAX_CLEAN, MAX_BYTES, LANDMARKS, CLEAN_UNITS, VARIANTS = 1200, 4800, 8000, 160, 6000, 8
-DECAY, SPAN, LONGEST, ALPHABET, POWER = 0.9, 7, 20, 64, 3
-_SHORT = re.compile(r"(?<!\S)(?:\S{1,2}\s+){2,}\S{1,2}(?!\S)")
-_SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
+MAX_TOXIC, MAX_CLEAN, MAX_BYTES, LANDMARKS, ROUNDS, VARIED = 1200, 4800, 24 << 20, 160, 4, 0.5
+DECAY, SPAN, LONGEST, ALPHABET, POWER, FAINT = 0.9, 7, 20, 64, 3, 0.12
 _TRIPLES = np.array([(i, j, k) for i in range(LONGEST) for j in range(i + 1, min(i + SPAN, LONGEST)) for k in range(j + 1, min(i + SPAN, LONGEST))])
-_TRIPLES = _TRIPLES[np.argsort(_TRIPLES[:, 2], kind="stable")]  # a unit of n letters has a prefix of these
+_TRIPLES = _TRIPLES[np.argsort(_TRIPLES[:, 2], kind="stable")]  # a unit of n characters has a prefix of these
 _HAS = np.searchsorted(_TRIPLES[:, 2], np.arange(LONGEST + 1))
 _WEIGHT = DECAY ** (_TRIPLES[:, 2] - _TRIPLES[:, 0] + 1.0)
+#: A landmark's number and a kernel with it.
+_ENTRY = np.dtype([("mark", "u1"), ("value", "<f2")])
+_WHITE, _END = np.zeros(256, bool), np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_END[[*b".!?"]] = True
 
 
 def unit_of(piece: str) -> str:
-    return piece if piece.isalpha() else "".join(c for c in piece if c.isalpha())
+    """The piece without signs at its ends; none where it has fewer than three letters."""
+    if piece.isalpha():
+        return piece if len(piece) > 2 else ""
+    at = [i for i, c in enumerate(piece) if c.isalpha()]
+    return piece[at[0] : at[-1] + 1] if len(at) > 2 else ""
 
 
 def parts_of(unit: str) -> list[str]:
-    """Units over LONGEST letters are compared in overlapping parts."""
+    """Units over LONGEST characters are compared in overlapping parts."""
     if len(unit) <= LONGEST:
         return [unit]
     return [unit[a : a + LONGEST] for a in range(0, len(unit) - LONGEST // 2, LONGEST // 2)]
 
 
-def joined_units(text: str) -> list[str]:
-    """Runs of pieces of one or two characters, as one unit each."""
-    return [u for m in _SHORT.findall(text) if len(u := unit_of(m)) > 2]
+class Pieces:
+    """Pieces of lower-cased texts: the different ones, which of them each is, its sentence, and each sentence's text.
+
+    A sentence ends with a piece that ends in a full stop, an exclamation or a question mark, with a line and with its text.
+    A text without pieces has one sentence.
+    """
+
+    def __init__(self, texts: pa.StringArray):
+        low = pc.utf8_lower(pc.fill_null(texts, ""))
+        if low.offset:
+            low = pa.concat_arrays([low])
+        n = len(low)
+        self.ends = np.frombuffer(low.buffers()[1], np.int32, n + 1) if n else np.zeros(1, np.int32)
+        self.raw = raw = np.frombuffer(low.buffers()[2], np.uint8)[: self.ends[-1]] if low.buffers()[2] is not None else np.zeros(0, np.uint8)
+        black = ~_WHITE[raw]
+        first = black.copy()
+        first[1:] &= ~black[:-1]
+        begins = self.ends[:-1][self.ends[1:] > self.ends[:-1]]
+        first[begins] = black[begins]
+        last = black.copy()
+        last[:-1] &= ~black[1:]
+        stops = begins[begins > 0] - 1
+        last[stops] = black[stops]
+        self.start, self.stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+        k = len(self.start)
+        text = np.searchsorted(self.ends, self.start, side="right") - 1
+        lines = np.flatnonzero(raw == 10)
+        over = _END[raw[self.stop - 1]] if k else np.zeros(0, bool)
+        if k:
+            over[:-1] |= (text[1:] != text[:-1]) | (np.searchsorted(lines, self.start[1:]) > np.searchsorted(lines, self.stop[:-1]))
+            over[-1] = True
+        sentence = np.concatenate(([0], np.cumsum(over)[:-1])).astype(np.int64) if k else np.zeros(0, np.int64)
+        bare = np.setdiff1d(np.arange(n), text)  # texts without pieces
+        self.text_of = np.concatenate([text[over], bare])
+        self.sentence = sentence
+        size = self.stop - self.start
+        letters = np.cumsum(np.concatenate(([0], (raw & 0xC0) != 0x80)))
+        short = letters[self.stop] - letters[self.start] <= 2
+        buffer = pa.py_buffer(raw)
+        # pieces with what stands behind them, as the offsets of one column
+        offsets = np.empty(2 * k + 1, np.int32)
+        offsets[0:-1:2], offsets[1::2], offsets[-1] = self.start, self.stop, self.stop[-1] if k else 0
+        both = pa.BinaryArray.from_buffers(pa.binary(), 2 * k, [None, pa.py_buffer(offsets), buffer])
+        coded = both.take(pa.array(np.arange(0, 2 * k, 2))).dictionary_encode() if k else None
+        self.size = size
+        self.units = as_bytes(coded.dictionary) if k else []
+        self.which = coded.indices.to_numpy().astype(np.int64) if k else np.zeros(0, np.int64)
+        # runs of short pieces of a sentence, at most LONGEST of them at a time
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], short.view(np.int8), [0]))))
+        known: dict[bytes, int] = {}
+        which, where = [], []
+        view = memoryview(raw)
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            while b - a > 2:
+                c = a + int(np.searchsorted(sentence[a:b], sentence[a], side="right"))
+                if c - a > 2:
+                    run = bytes(view[self.start[a] : self.stop[c - 1]])
+                    which.append(known.setdefault(run, len(known)))
+                    where.append(sentence[a])
+                a = c
+        self.which = np.concatenate([self.which, np.array(which, np.int64) + len(self.units)])
+        self.unit_sentence = np.concatenate([sentence, np.array(where, np.int64)])
+        self.units += list(known)
+
+    def sentences(self) -> list[bytes]:
+        """Text of each sentence."""
+        if not len(self.start):
+            return [b""] * len(self.text_of)
+        new = np.flatnonzero(np.concatenate(([True], self.sentence[1:] != self.sentence[:-1])))
+        last = np.concatenate((new[1:], [len(self.start)])) - 1
+        view = memoryview(self.raw)
+        found = [bytes(view[a:b]) for a, b in zip(self.start[new].tolist(), self.stop[last].tolist())]
+        return found + [b""] * (len(self.text_of) - len(found))
 
 
 class Subsequences:
     """Explicit features of the kernel: codes of three letters, and decayed spans."""
 
     def __init__(self, letters: str):
-        self.code = {c: i + 1 for i, c in enumerate(letters[: ALPHABET - 1])}
+        self.code = {c: i + 2 for i, c in enumerate(letters[: ALPHABET - 2])}
 
     def ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Feature numbers and weights, (units, triples); weight 0 where a unit is too short."""
+        """Feature numbers and weights, (units, triples); weight 0 where a unit is too short or has no letter.
+
+        Code 0 is no letter, 1 a letter that is none of the given ones.
+        """
         n = np.array([len(u) for u in units], np.int64)
         grid = np.zeros((len(units), LONGEST), np.int32)
         for r, u in enumerate(units):
-            grid[r, : len(u)] = [self.code.get(c, 0) for c in u]
+            grid[r, : len(u)] = [self.code.get(c) or int(c.isalpha()) for c in u]
         most = int(_HAS[n.max()]) if len(n) else 0
         t = _TRIPLES[:most]
-        ids = (grid[:, t[:, 0]] * ALPHABET + grid[:, t[:, 1]]) * ALPHABET + grid[:, t[:, 2]]
-        return ids, np.where(np.arange(most) < _HAS[n][:, None], _WEIGHT[:most], 0.0)
+        a, b, c = (grid[:, t[:, k]] for k in range(3))
+        return (a * ALPHABET + b) * ALPHABET + c, np.where((np.arange(most) < _HAS[n][:, None]) & (a > 0) & (b > 0) & (c > 0), _WEIGHT[:most], 0.0)
 
     @staticmethod
     def norms(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -134,151 +214,204 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-
     return w[:-1], float(w[-1])
 
 
-def fit_logistic(f: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset of P(1 | f); targets are kept off 0 and 1, so that separable scores have a finite slope."""
-    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
-    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum()))
-    x, w = np.stack([f, np.ones(len(f))], 1), np.array([1.0, 0.0])
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> np.ndarray:
+    """Weights of P(1 | x), the last one the offset."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(x.shape[1])
+    penalty = ridge * len(y) * np.eye(x.shape[1])
+    penalty[-1, -1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (weight * (target - p)) - 1e-6 * w)
-        w = w + np.clip(step, -5, 5)
-    return float(w[0]), float(w[1])
+        h = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + penalty
+        step = np.linalg.solve(h, x.T @ (y - p) - penalty @ w)
+        w = w + np.clip(step, -3, 3)
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
 
 
 class ToxicityModel:
     def __init__(self):
-        self.space, self.marks, self.beta, self.bias, self.slope, self.offset = Subsequences(""), None, None, 0.0, 1.0, 0.0
+        self.space, self.marks, self.beta, self.bias, self.weights = Subsequences(""), None, None, 0.0, None
         self._memo, self.key = None, new_key()
 
     def __getstate__(self):
         return self.__dict__ | {"_memo": None}
 
-    @staticmethod
-    def units_of(text: str) -> set[str]:
-        low = text.lower()
-        return {q for p in {*map(unit_of, low.split()), *joined_units(low)} for q in parts_of(p) if len(q) > 2}
-
-    def fit(self, rows: list[tuple[bytes, int]], landmarks: int = LANDMARKS, clean_units: int = CLEAN_UNITS, variants: int = VARIANTS, seed: int = 11) -> ToxicityModel:
-        clean: set[str] = set()
-        docs, toxic = [], []
-        for raw, y in sorted(set(rows), key=lambda r: (zlib.crc32(r[0]), r)):
-            units = self.units_of(raw.decode("utf-8", "ignore"))
-            if y:
-                toxic.append(units)
-            else:
-                clean |= units
-                if len(docs) < MAX_TOXIC:  # as many as there are toxic rows at most, for the last step
-                    docs.append((units, 0))
-        own = [u - clean for u in toxic]
-        docs += [(u, 1) for u in toxic]
-        bad = self._cover(own, 2 * landmarks, max(3, len(own) // 100))
-        if not clean or not bad:
+    def kernels(self, pieces: list[bytes]) -> list[bytes]:
+        """Each piece's kernels with the landmarks that are not faint, as packed entries."""
+        names = [unit_of(p.decode("utf-8", "replace")) for p in pieces]
+        parts = sorted(((i, q) for i, u in enumerate(names) if u for q in parts_of(u)), key=lambda x: len(x[1]))  # alike lengths together
+        out = [b""] * len(pieces)
+        for a in range(0, len(parts), 4096):
+            some = parts[a : a + 4096]
+            got = self.space.kernel([q for _, q in some], self.marks)
+            row, mark = np.nonzero(got >= FAINT)
+            entries = np.empty(len(row), _ENTRY)
+            entries["mark"], entries["value"] = mark, got[row, mark]
+            cuts = np.searchsorted(row, np.arange(len(some) + 1)).tolist()
+            for (i, _), x, y in zip(some, cuts, cuts[1:]):
+                if y > x:
+                    out[i] += entries[x:y].tobytes()
+        return out
+
+    def table(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the sentences that have kernels, their largest kernel with each landmark)."""
+        if self._memo is None:
+            self._memo = Memo(self.kernels)
+        values = self._memo.all(pieces.units)
+        size = np.fromiter(map(len, values), np.int64, len(values)) // _ENTRY.itemsize
+        at = np.flatnonzero(size[pieces.which] > 0)
+        if not len(at):
+            return np.zeros(0, np.int64), np.zeros((0, self.marks[1].shape[1]), np.float32)
+        unit, of = pieces.which[at], pieces.unit_sentence[at]
+        flat = np.frombuffer(b"".join(values), _ENTRY)
+        begin, count = (np.cumsum(size) - size)[unit], size[unit]
+        stop = np.cumsum(count)
+        entry = flat[np.repeat(begin - (stop - count), count) + np.arange(stop[-1])]
+        own, row = np.unique(of, return_inverse=True)
+        out = np.zeros((len(own), self.marks[1].shape[1]), np.float32)
+        np.maximum.at(out, (np.repeat(row, count), entry["mark"].astype(np.int64)), entry["value"].astype(np.float32))
+        return own, out
+
+    def fit(self, rows: list[tuple[bytes, int]], landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 11) -> ToxicityModel:
+        rows = sorted(set(rows))
+        y = np.array([label for _, label in rows], np.int64)
+        if not len(y) or y.min() == y.max():
             return self
-        letters = Counter()
-        for u in (*clean, *bad):
-            letters.update(u)
-        space = self.space = Subsequences("".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))))
-        bad += [u for u in self._shared(own) if u not in set(bad)][: 2 * landmarks]
-        seeds = bad[: landmarks * 3 // 4]
-        rng = np.random.default_rng(seed)
-        good = sorted(clean)
-        near = space.kernel(good, space.landmarks(seeds)).max(axis=1)
-        order = np.argsort(-near, kind="stable")  # the clean units most like toxic ones, then others
-        hard = [good[i] for i in order[: clean_units // 2].tolist()]
-        good = hard + [good[i] for i in sorted(rng.permutation(order[clean_units // 2 :])[: clean_units // 2].tolist())]
-        marks = sorted({*bad[: landmarks * 3 // 4], *hard[: landmarks // 4]})
-        self.marks = space.landmarks(marks)
-        common = "".join(c for c, _ in letters.most_common(26))
-        more = [u[: (k := rng.integers(1, len(u)))] + common[rng.integers(len(common))] + u[k:] for u in bad for _ in range(variants)]
-        more = [u for u in more if len(u) <= LONGEST and u not in clean]
-        own_kernel = space.kernel(marks, self.marks).astype(np.float64)
-        value, vector = np.linalg.eigh((own_kernel + own_kernel.T) / 2)
-        root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-4))) @ vector.T
-        x = space.kernel([*bad, *more, *good], self.marks) @ root
-        self.n_bad = n_bad = len(bad) + len(more)
-        y = np.array([1.0] * n_bad + [-1.0] * len(good))
-        w, self.bias = fit_svm(x, y, np.where(y > 0, 0.5 / n_bad, 0.5 / len(good)))
-        self.beta = root @ w
-        self.bad = bad
-        units = sorted(set(bad).union(*(u for u, _ in docs)))
-        value = dict(zip(units, self.decide(units).tolist()))
-        known = set(bad)
-        seen = [(max((value.get(u, self.bias) for u in s), default=self.bias), y) for s, y in docs if not y or s & known]
-        seen += [(f, 1) for f in self.decide(more).tolist()]
-        self.slope, self.offset = fit_logistic(np.array([f for f, _ in seen]), np.array([y for _, y in seen], float))
+        pieces = Pieces(pa.array([raw.decode("utf-8", "ignore") for raw, _ in rows], pa.string()))
+        text = pieces.sentences()
+        # equal sentences of a label count once, so that copies of a text are no evidence of their own
+        label = y[pieces.text_of]
+        seen: set[tuple[bytes, int]] = set()
+        once = np.array([(t, int(k)) not in seen and not seen.add((t, int(k))) for t, k in zip(text, label)], bool)
+        names = [unit_of(u.decode("utf-8", "replace")) for u in pieces.units]
+        different = {u: i for i, u in enumerate(sorted({u for u in names if u and len(u) <= LONGEST}))}
+        number = np.array([different.get(u, -1) for u in names], np.int64)
+        if not different:
+            return self
+        of = number[pieces.which]
+        use = (of >= 0) & once[pieces.unit_sentence]
+        pairs = np.unique(np.stack([of[use], pieces.unit_sentence[use]]), axis=1)
+        counts = [np.bincount(pairs[0][label[pairs[1]] == k], minlength=len(different)) for k in (0, 1)]
+        total = [max(1, int((label[once] == k).sum())) for k in (0, 1)]
+        units = np.array(list(different), object)
+        expected = (counts[0] + 0.5) / total[0] * total[1]
+        gain = np.where(counts[1] > expected, counts[1] * np.log(np.maximum(counts[1], 1) / expected) - (counts[1] - expected), 0.0)
+        letters: dict[str, int] = {}
+        for u, n in zip(units.tolist(), (counts[0] + counts[1]).tolist()):
+            for c in filter(str.isalpha, u):
+                letters[c] = letters.get(c, 0) + n
+        self.space = Subsequences("".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))))
+        bad = self._apart([u for u in units[np.argsort(-gain, kind="stable")[: 40 * landmarks]].tolist() if gain[different[u]] > 4], landmarks * 3 // 4)
+        if not bad:
+            return self
+        clean = units[np.argsort(-counts[0], kind="stable")[: 200 * landmarks]]
+        clean = [u for u in clean.tolist() if gain[different[u]] == 0 and counts[0][different[u]]]
+        near = self.space.kernel(clean, self.space.landmarks(bad)).max(axis=1) if clean else np.zeros(0)
+        marks = sorted({*bad, *(clean[i] for i in np.argsort(-near, kind="stable")[: landmarks - len(bad)].tolist())})
+        self.marks, self.names = self.space.landmarks(marks), marks
+        own = self.space.kernel(marks, self.marks).astype(np.float64)
+        value, vector = np.linalg.eigh((own + own.T) / 2)
+        root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
+        self._memo = None
+        who, table = self.table(pieces)
+        keep = once[who]
+        x, bag, at_ = table[keep], pieces.text_of[who[keep]], label[who[keep]]
+        blank = int((label[once] == 0).sum() - (at_ == 0).sum())  # clean sentences that are like no landmark
+        # first guess: a toxic row's sentences that are most like the units that tell toxic sentences
+        told = np.isin(marks, bad)
+        score = x[:, told].max(axis=1) if told.any() else np.zeros(len(x))
+        limit, features = 0.6, x @ root
+        more, share = self._inserted({u: int(counts[1][different[u]]) for u in bad}, seed)
+        more_x = more @ root
+        for _ in range(rounds):
+            best = np.full(len(y), -np.inf)
+            np.maximum.at(best, bag, score)
+            toxic = (at_ == 1) & ((score >= limit) | ((score == best[bag]) & (score > limit - 1)))
+            if not toxic.any():
+                return self
+            a, b = features[toxic], features[at_ == 0]
+            data = np.vstack([a, more_x, b, np.zeros((1, x.shape[1]))])
+            target = np.concatenate([np.ones(len(a) + len(more_x)), -np.ones(len(b) + 1)])
+            weight = np.concatenate([np.ones(len(a)), share * len(a) * VARIED, np.ones(len(b)), [max(1, blank)]])
+            w, self.bias = fit_svm(data, target, weight)
+            self.beta = (root @ w).astype(np.float64)
+            score, limit = features @ w + self.bias, 0.0
+        summary = self._summary(pieces, who, table)
+        # a text with but one of a toxic row's sentences is toxic too, as far as clean rows don't have the like
+        alone = summary[(y == 1) & (summary[:, 0] > 0)].copy()
+        alone[:, 1:3], alone[:, 3] = np.clip(self.bias, -3, 3), np.log1p(alone[:, 0])
+        self.weights = fit_logistic(np.vstack([summary, alone]), np.concatenate([y, np.ones(len(alone))]))
         return self
 
-    @staticmethod
-    def _cover(rows: list[set[str]], most: int, least: int = 3) -> list[str]:
-        """Units that cover the rows: each is the one in most rows that the ones before are not in, and in least at least."""
-        count = Counter(u for s in rows for u in s)
-        count = Counter({u: n for u, n in count.items() if n >= least})
-        left, out = [s & count.keys() for s in rows], []
-        while count and len(out) < most:
-            best, n = max(count.items(), key=lambda x: (x[1], x[0]))
-            if n < least:
-                break
-            out.append(best)
-            gone = [s for s in left if best in s]
-            left = [s for s in left if best not in s]
-            for s in gone:
-                count.subtract(s)
-        return out
-
-    @staticmethod
-    def _shared(rows: list[set[str]], least: int = 8) -> list[str]:
-        """Units that at least so many rows share which are no copies of each other, the most frequent first."""
-        where: dict[str, list[int]] = {}
-        for i, s in enumerate(rows):
-            for u in s:
-                where.setdefault(u, []).append(i)
-        out = []
-        for u, at in where.items():
-            kinds: list[set[str]] = []
-            for i in at if len(at) >= least else ():
-                if all(5 * len(rows[i] & k) <= len(rows[i] | k) + 4 for k in kinds):
-                    kinds.append(rows[i])
-                if len(kinds) == least:
-                    out.append((-len(at), u))
-                    break
-        return [u for _, u in sorted(out)]
-
-    def decide(self, units: list[str]) -> np.ndarray:
-        """Decision values of units of at most LONGEST letters."""
-        return self.space.kernel(units, self.marks) @ self.beta + self.bias
-
-    def _pieces(self, pieces: list[str]) -> list[float]:
-        """The worst part of each piece; pieces of fewer than three letters say nothing."""
-        parts = [(i, q) for i, p in enumerate(pieces) for q in parts_of(unit_of(p)) if len(q) > 2]
-        parts.sort(key=lambda x: len(x[1]))  # alike lengths together need no room for longer ones
-        out = np.full(len(pieces), self.bias)
-        if parts:
-            at = np.array([i for i, _ in parts])
-            values = self.decide([q for _, q in parts])
-            worst = np.full(len(pieces), -np.inf)
-            np.maximum.at(worst, at, values)
-            out[at] = worst[at]
-        return out.tolist()
-
-    def scores(self, texts: list[str | None], together: int = 256) -> np.ndarray:
-        if self.beta is None:
+    def _apart(self, units: list[str], most: int, alike: float = 0.6) -> list[str]:
+        """The first units no two of which have a kernel over ``alike``."""
+        if not units:
+            return []
+        table = self.space.kernel(units, self.space.landmarks(units[: 4 * most]))
+        out: list[int] = []
+        for i in range(min(len(units), 4 * most)):
+            if len(out) < most and not (table[i, out] > alike).any():
+                out.append(i)
+        return [units[i] for i in out]
+
+    def _inserted(self, bad: dict[str, int], seed: int, copies: int = 8) -> tuple[np.ndarray, np.ndarray]:
+        """Kernels of copies of these units with one more letter in them, or a space between all letters, and each one's
+        share by the units' counts."""
+        rng = np.random.default_rng(seed)
+        common = "etaoinsrhldu"
+        new, share = [], []
+        for u, n in sorted(bad.items()):
+            for c in range(copies):
+                k = int(rng.integers(1, len(u)))
+                new.append((" ".join(u) if c == 0 else u[:k] + common[rng.integers(len(common))] + u[k:]).encode())
+                share.append(n / copies)
+        out = np.zeros((len(new), self.marks[1].shape[1]), np.float32)
+        for r, data in enumerate(self.kernels(new)):
+            entry = np.frombuffer(data, _ENTRY)
+            np.maximum.at(out[r], entry["mark"].astype(np.int64), entry["value"].astype(np.float32))
+        return out, np.array(share) / max(1, sum(share))
+
+    def _summary(self, pieces: Pieces, who: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """What a text's score is made of: its three worst sentences, the sum of what is beyond the margin, its length."""
+        n = len(pieces.ends) - 1
+        value = table.astype(np.float64) @ self.beta + self.bias
+        number = np.bincount(pieces.text_of, minlength=n)
+        top = np.full((n, 3), self.bias)
+        over = np.zeros(n)
+        if len(value):
+            bag = pieces.text_of[who]
+            order = np.lexsort((-value, bag))
+            b, v = bag[order], value[order]
+            first = np.searchsorted(b, b)
+            place = np.arange(len(b)) - first
+            for k in range(3):
+                at = place == k
+                top[b[at], k] = np.maximum(v[at], self.bias)
+            np.add.at(over, bag, np.maximum(0, value))
+        return np.stack([np.clip(top, -3, 3)[:, k] for k in range(3)] + [np.log1p(over), np.log1p(number) / 3], axis=1)
+
+    def scores(self, texts: pa.StringArray | list) -> np.ndarray:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if self.weights is None:
             return np.zeros(len(texts))
-        if self._memo is None:
-            self._memo = Memo(self._pieces)
-        out = np.full(len(texts), self.bias)
-        for at in range(0, len(texts), together):
-            low = [(t or "").lower() for t in texts[at : at + together]]
-            for i, values in enumerate(self._memo.all([t.split() + joined_units(t) for t in low])):
-                if values:
-                    out[at + i] = max(values)
-        return 1 / (1 + np.exp(-np.clip(self.slope * out + self.offset, -30, 30)))
+        out = np.empty(len(texts))
+        for a, n in slices(texts):
+            pieces = Pieces(texts.slice(a, n))
+            x = self._summary(pieces, *self.table(pieces))
+            out[a : a + n] = 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
+        return out
 
     def sentences(self, text: str) -> list[tuple[str, float]]:
-        """Each sentence with its score."""
-        found = _SENTENCE.findall(text)
-        return list(zip(found, self.scores(found).tolist()))
+        """Each sentence, in lower case, with the machine's decision; over 0 is toxic."""
+        pieces = Pieces(pa.array([text], pa.string()))
+        found = [t.decode("utf-8", "replace") for t in pieces.sentences()]
+        value = np.full(len(found), self.bias)
+        if self.weights is not None:
+            who, table = self.table(pieces)
+            value[who] = table.astype(np.float64) @ self.beta + self.bias
+        return list(zip(found, value.tolist()))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,7 +420,8 @@ def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
     def run(batches):
         own = held(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.scores(batch.column(1).to_pylist()))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.scores(batch.column(1)))], ["doc_id", "score"])
+        settle()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
@@ -296,5 +430,5 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     rows = labelled_sample(docs, labels, "toxic", fold_column(F.col("doc_id"), 5) != 0, (MAX_CLEAN, MAX_TOXIC), MAX_BYTES)
     scored = score_documents(docs, ToxicityModel().fit(rows))
-    held = (fold_column(F.col("doc_id"), 5) == 0).alias("held_out")
-    return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    held_out = (fold_column(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

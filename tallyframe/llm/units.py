@@ -117,7 +117,7 @@ def encode_texts(texts: pa.StringArray, memo: Memo) -> tuple[np.ndarray, np.ndar
         return np.zeros(0, np.uint32), np.zeros(len(ends), np.int64)
     coded = pieces.dictionary_encode()
     which = coded.indices.to_numpy()
-    values = memo.all(_as_bytes(coded.dictionary))
+    values = memo.all(as_bytes(coded.dictionary))
     sizes = np.fromiter(map(len, values), np.int32, len(values)) // 4
     flat = np.frombuffer(b"".join(values), "<u4")
     size = sizes[which]
@@ -127,7 +127,7 @@ def encode_texts(texts: pa.StringArray, memo: Memo) -> tuple[np.ndarray, np.ndar
     return flat[at], np.concatenate(([0], stop))[ends]
 
 
-def _as_bytes(column: pa.BinaryArray) -> list[bytes]:
+def as_bytes(column: pa.BinaryArray) -> list[bytes]:
     ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset).tolist()
     raw = column.buffers()[2].to_pybytes()
     return [raw[a:b] for a, b in zip(ends, ends[1:])]
