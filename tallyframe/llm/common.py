@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 
@@ -16,13 +17,15 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    It is ``spark.checkpoint.dir``. Where that is unset, as in tests, a folder below the SQL warehouse (which
-    is shared by definition) takes its place.
+    Where that is unset in local mode, as in tests, a folder below the SQL warehouse takes its place; on a cluster it has to
+    be set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)
@@ -38,7 +41,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table that materialize wrote and nothing will read again."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def column(df: DataFrame, name: str):

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
-def connected_components(links: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for every node with a link; component is the least node reachable.
 
     links has the long columns a and b. Alternates two rounds until nothing changes: every node links its larger
     neighbours to the least of its neighbourhood; then every node links itself and its smaller neighbours to the least of
     those. What is left is a star around each least node. Each round groups by node, with no node's neighbours in one row:
     only the least neighbour is gathered, by a partial aggregate, and joined back. Tables between rounds are written to the
-    shared folder.
+    shared folder and go when the next one is there. Every round that changes anything lowers some label, so it ends.
     """
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
@@ -37,15 +37,12 @@ def connected_components(links: DataFrame, name: str = "components", max_rounds:
 
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     seen = mark(edges)
-    for _ in range(max_rounds):
-        if not seen[0]:
-            break
-        edges = materialize(star(star(edges, True), False), name)
+    while seen[0]:
+        older, edges = edges, materialize(star(star(edges, True), False), name)
+        discard(older)
         now = mark(edges)
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     down = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("component"))
     return down.union(down.select(F.col("component").alias("node"), "component")).distinct()

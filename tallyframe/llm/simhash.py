@@ -11,8 +11,11 @@ over ``SPLIT`` nodes is split by the parts of its remaining bits in the same way
 is compared with itself as a whole. A bucket hands on a spanning forest of its links at most, never all pairs.
 
 Defined results: null and empty texts and texts of white space have fingerprint zero and are linked like any other;
-repeated rows each get a row; rows with a null id get a fingerprint and do not lend their id to a component, unless no
-other row does; an empty table gives no rows; extra columns are not read.
+repeated rows each get a row; rows with a null id get a fingerprint and link others but lend no id to a component, whose id
+is null where no row of it has one; very long texts are read whole; an empty table gives no rows; extra columns are not read.
+
+Which pairs are looked at is decided by equal parts, of which every linked pair has one; the pivot tables then leave few of
+those pairs to be compared.
 """
 
 from __future__ import annotations
@@ -22,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, load, materialize, utf8
+from .common import id_text, load, materialize, settle, utf8
 from .components import connected_components
+from .units import slices
 
 SEED = 42
 PIVOTS = 16
@@ -56,8 +60,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 
     def run(batches):
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
+            texts = (t for a, n in slices(batch.column(1)) for t in batch.column(1).slice(a, n).to_pylist())
+            fps = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+        settle()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
@@ -196,10 +202,13 @@ def fingerprint_links(nodes: DataFrame, radius: int = 3, n_pivots: int = PIVOTS,
 def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): component_id is the least doc_id that links lead to."""
     prints = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    nodes = materialize(prints.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(-(2**63))).alias("node")), "simhash-nodes")
-    found = connected_components(fingerprint_links(nodes, radius), "simhash-links")
-    classes = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", F.when(F.col("component_id") != -(2**63), F.col("component_id")).alias("component_id"))
+    # a node is a fingerprint; ids are only what it carries, so that rows without one are no node of their own
+    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    found = connected_components(fingerprint_links(nodes.select(F.col("fp").alias("node"), "fp"), radius), "simhash-links")
+    classes = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = classes.select("fp", "component").join(least, "component").select("fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
