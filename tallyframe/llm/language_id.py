@@ -9,8 +9,9 @@ are tables of transitions, dense for the commonest letters and sparse for the ot
 ``BLOCK`` letters are parsed block by block and the phrases added up, which costs a phrase a block and keeps memory and
 the number of steps the same for any length; all letters count.
 
-Learning is bounded: up to ``SAMPLE_DOCS`` documents a language, chosen by hash, and ``SAMPLE_LETTERS`` letters in all,
-shared evenly among the languages. These are parameters of ``learn``.
+Learning is bounded: up to ``SAMPLE_DOCS`` documents a language, chosen by hash, and ``SAMPLE_LETTERS`` letters of whole texts
+in all, shared evenly among the languages, of which the ``MAX_LANGUAGES`` with most rows (ties: in order of names) are
+learned. These are parameters of ``learn``.
 
 Defined results: a null text and one without letters is ``und`` with score 0; rows with null id or language are not
 learned from, but predicted; repeated rows each get a row; an empty table gives no rows; with nothing to learn from all is
@@ -24,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, fold_column, id_text, load
-from .units import held, new_key
+from .common import column, fold_column, id_text, load, settle
+from .units import held, new_key, slices
 
-SAMPLE_DOCS, SAMPLE_LETTERS, LEAST_BYTES = 64, 120_000, 100
-MAX_LANGUAGES = 200
+SAMPLE_DOCS, SAMPLE_LETTERS, LEAST_BYTES, MAX_LANGUAGES = 256, 120_000, 100, 500
+_LETTER = "\\p{L}"
 #: Codes with a column in the dense table; letters beyond, the rarest of the samples, have sparse transitions.
-DENSE = 255
-BLOCK, TOGETHER = 2048, 8 << 20
+DENSE = 96
+BLOCK = 2048
 _SPACE = 1
 
 
@@ -205,29 +206,41 @@ class CrossParser:
         return [self.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist())], score, each, np.array(self.bits)[best], letters, strange
 
 
-def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_letters: int = SAMPLE_LETTERS) -> CrossParser:
+def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_letters: int = SAMPLE_LETTERS, max_languages: int = MAX_LANGUAGES) -> CrossParser:
     """wanted: a condition on the column doc_id that rows to learn from meet.
 
-    The ids of the sample are found in narrow columns; only their texts are read then.
+    The sample is found in narrow columns; only its texts are read then. A language's texts come in the order of a hash,
+    those of LEAST_BYTES or more first, and are taken whole as long as they fit into its share of the letters; only where
+    none fits is a part of the first one taken. A language of short texts alone is learned from these.
     """
     rows = docs.select(
         column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).cast("string").alias("text"), column(docs, lang_col).cast("string").alias("lang")
-    ).where("doc_id IS NOT NULL AND lang IS NOT NULL")
+    ).where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     if wanted is not None:
         rows = rows.where(wanted)
-    long = rows.where(F.octet_length("text") >= LEAST_BYTES)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = [r.doc_id for r in long.select("doc_id", "lang").withColumn("n", place).where(F.col("n") <= sample_docs).limit(MAX_LANGUAGES * sample_docs).collect()]
-    texts: dict[str, list[str]] = {}
-    each = sample_letters // sample_docs  # of one text at most
-    for r in long.where(F.col("doc_id").isin(chosen)).select("doc_id", "lang", F.substring("text", 1, each).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * MAX_LANGUAGES * sample_docs).collect() if chosen else []:
-        texts.setdefault(r.lang, []).append(r.text)
-    most = sample_letters // max(1, len(texts))
-    samples = {}
-    for name, own in texts.items():
-        share = max(50, most // len(own))
-        samples[name] = " ".join(t[:share] for t in own)[:most]
-    return CrossParser(samples)
+    rows = rows.withColumns({"hash": F.xxhash64("doc_id", "text"), "n": F.octet_length("text")}).where(F.col("text").rlike(_LETTER))
+    narrow = rows.select("lang", "hash", "n")
+    counts = narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    if not counts:
+        return CrossParser({})
+    order = Window.partitionBy("lang").orderBy(F.col("n") < LEAST_BYTES, "hash")
+    first = narrow.join(F.broadcast(docs.sparkSession.createDataFrame([(r.lang,) for r in counts], "lang string")), "lang")
+    found = first.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs).collect()
+    share = max(50, sample_letters // len(counts))  # in bytes at least as many as letters
+    chosen, left = [], {r.lang: share for r in counts}
+    for r in sorted(found, key=lambda r: (r.lang, r.place)):
+        if r.n <= left[r.lang]:
+            left[r.lang] -= r.n
+            chosen.append((r.lang, r["hash"], r.place))
+        elif r.place == 1:
+            chosen.append((r.lang, r["hash"], sample_docs + 1))  # in case that no other fits
+    few = F.broadcast(docs.sparkSession.createDataFrame(chosen, "lang string, hash long, place int"))
+    texts = rows.join(few, ["lang", "hash"]).groupBy("lang", "hash", "place").agg(F.min(F.substring("text", 1, share)).alias("text")).collect()
+    own: dict[str, list[str]] = {}
+    for r in sorted(texts, key=lambda r: (r.lang, r.place)):
+        if r.place <= sample_docs or r.lang not in own:
+            own.setdefault(r.lang, []).append(r.text)
+    return CrossParser({name: " ".join(t) for name, t in own.items()})
 
 
 def predict_language(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,7 +250,7 @@ def predict_language(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id
         own = held(parser)
         for batch in batches:
             names, scores, bits = [], [], []
-            texts, size = [], 0
+            texts = []
 
             def flush():
                 n, s, b = own.predict(texts)
@@ -246,14 +259,11 @@ def predict_language(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id
                 bits.extend(b.tolist())
                 texts.clear()
 
-            for t in batch.column(1).to_pylist():
-                texts.append(t)
-                size += len(t or "")
-                if size >= TOGETHER:
-                    flush()
-                    size = 0
-            flush()
+            for a, k in slices(batch.column(1)):
+                texts.extend(batch.column(1).slice(a, k).to_pylist())
+                flush()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], ["doc_id", "lang_pred", "score", "bits"])
+        settle()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, bits double")
 
