@@ -6,15 +6,21 @@ How it scales: a corpus has one suffix array too many for any machine, so suffix
 equal strings together. The least hash of the GRAM-byte strings within a window of ``length`` bytes depends on the window
 alone; consecutive windows with the same least hash are one run, cut out of the text once. Equal windows are thus in runs
 with the same key, and a run whose key occurs once, and once only in it, holds no repeat at all and is dropped on arrival.
-Equal runs keep the earliest. What is left of a bucket is sorted by two-stage suffix sorting, and neighbours in that order
-whose common prefix reaches ``length`` are repeats: all of them go but the earliest.
+Equal runs, compared byte by byte, keep the earliest. What is left of a bucket is sorted by two-stage suffix sorting, and
+neighbours in that order whose common prefix reaches ``length`` are repeats: all of them go but the earliest.
+
+A gram that very many documents have in different surroundings would make a bucket of its own that no machine holds. Such
+grams are found in a sample of the texts and rank behind all others: a window is dealt by one of them only where it has no
+other. Which grams these are changes how windows are dealt, never which are equal.
 
 Runs travel as compressed blocks for each bucket. A bucket is read one block at a time and equal runs are merged as they
-come, so a passage that a third of all documents share costs one run a block, not one a document.
+come, so a passage that a third of all documents share costs one run a block, not one a document. Keys of a bucket are then
+sorted in portions.
 
 Defined results: a null or empty text has no bytes and no spans; rows with a null doc_id come before all others; rows that
 share doc_id and text are one document and get the same result; those that share doc_id only are ordered by the hash of
-their text; an empty table gives no rows; extra columns are not read.
+their text; very long texts are cut in pieces that overlap by a window; an empty table gives no rows; extra columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -23,16 +29,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, id_text, load, map_columns, utf8
+from .common import id_text, load, settle, utf8
 from .suffix_sort import common_prefixes, suffix_array
+from .units import slices
 
 LENGTH, GRAM = 100, 24
 #: Bytes of runs in a bucket, of text in one go, of runs in one block, and of runs that are sorted together.
-BUCKET_BYTES, PIECE_BYTES, BLOCK_BYTES, SORT_BYTES, HELD_BYTES = 16 << 20, 1 << 20, 16 << 20, 1 << 20, 48 << 20
+BUCKET_BYTES, PIECE_BYTES, BLOCK_BYTES, SORT_BYTES, HELD_BYTES = 16 << 20, 1 << 20, 16 << 20, 1 << 20, 24 << 20
+#: One text in SAMPLE is looked at for frequent grams; a gram whose runs would have HOT_BYTES is one; MAX_HOT are kept.
+SAMPLE, HOT_BYTES, MAX_HOT = 64, 8 << 20, 1 << 16
 ZSTD_LEVEL = 6
 NULL_ID = -(2**63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -54,6 +64,23 @@ def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return _mix(h)
 
 
+class Ranks:
+    """The order of grams: by hash, those of ``hot`` behind all others."""
+
+    def __init__(self, hot=()):
+        self.hot = np.unique(np.asarray(hot, np.uint64) >> np.uint64(1))
+        self.seen = np.zeros(1 << 16, bool)
+        self.seen[(self.hot & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        h = h >> np.uint64(1)
+        if len(self.hot):
+            at = np.flatnonzero(self.seen[(h & np.uint64(0xFFFF)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(self.hot, h[at]), len(self.hot) - 1)
+            h[at[self.hot[place] == h[at]]] |= np.uint64(1 << 63)
+        return h
+
+
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     """pick (minimum or maximum) over x[i : i + width]."""
     size = 1
@@ -63,7 +90,7 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - size)], x[width - size :]) if size < width else x
 
 
-def runs_of(raw: np.ndarray, doc: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+def runs_of(raw: np.ndarray, doc: np.ndarray, length: int = LENGTH, gram: int = GRAM, ranks: Ranks = Ranks()):
     """(start, windows, key, repeats, place) of the runs in raw; doc numbers the text that each byte belongs to, ascending.
 
     repeats: whether the key's gram is at two places of a run, so that the run may repeat itself.
@@ -71,7 +98,7 @@ def runs_of(raw: np.ndarray, doc: np.ndarray, length: int = LENGTH, gram: int =
     if len(raw) < length:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64), none.astype(bool), none
-    h = gram_hashes(raw, gram)
+    h = ranks.of(gram_hashes(raw, gram))
     w = length - gram + 1
     least = sliding(h, w, np.minimum)
     valid = doc[: len(least)] == doc[length - 1 : length - 1 + len(least)]
@@ -163,7 +190,7 @@ class Runs:
         return zstandard.ZstdCompressor(level=ZSTD_LEVEL).compress(b"".join(body))
 
     @staticmethod
-    def unpack(data, length: int) -> Runs:
+    def unpack(data, length: int, ranks: Ranks = Ranks()) -> Runs:
         import zstandard
 
         raw = zstandard.ZstdDecompressor().decompress(data)
@@ -180,7 +207,7 @@ class Runs:
         sizes = windows + (length - 1)
         key, grams = np.empty(n, np.uint64), np.cumsum(sizes) - sizes + place
         for a in range(0, n, 20_000):
-            key[a : a + 20_000] = gram_hashes(text[grams[a : a + 20_000, None] + np.arange(GRAM)].T)[0]
+            key[a : a + 20_000] = ranks.of(gram_hashes(text[grams[a : a + 20_000, None] + np.arange(GRAM)].T)[0])
         return Runs(key, docs[0][which], docs[1][which], start, windows, repeats, place, text, length)
 
 
@@ -190,7 +217,7 @@ def _pieces(raw: bytes, length: int):
         yield a, raw[a : a + PIECE_BYTES + length - 1]
 
 
-def text_runs(texts: list[tuple[int, int, bytes]], length: int) -> list[Runs]:
+def text_runs(texts: list[tuple[int, int, bytes]], length: int, ranks: Ranks = Ranks()) -> list[Runs]:
     """Runs of (doc_id, tie, bytes) texts, in parts of about PIECE_BYTES of text."""
     found, held, size = [], [], 0
 
@@ -198,7 +225,7 @@ def text_runs(texts: list[tuple[int, int, bytes]], length: int) -> list[Runs]:
         raw = np.frombuffer(b"".join(p for *_, p in held), np.uint8)
         sizes = np.array([len(p) for *_, p in held])
         doc = np.repeat(np.arange(len(held)), sizes)
-        starts, windows, key, repeats, place = runs_of(raw, doc, length)
+        starts, windows, key, repeats, place = runs_of(raw, doc, length, ranks=ranks)
         of = doc[starts]
         ids, ties, at = (np.array(x, np.int64) for x in zip(*((h[0], h[1], h[2]) for h in held)))
         begin = np.cumsum(sizes) - sizes
@@ -220,7 +247,7 @@ def text_runs(texts: list[tuple[int, int, bytes]], length: int) -> list[Runs]:
 
 
 def merge_equal(runs: Runs, spans: list) -> Runs:
-    """Keeps the earliest of equal runs; the others are covered as a whole."""
+    """Keeps the earliest of equal runs, in the order of their keys; the others are covered as a whole."""
     from xxhash import xxh3_128_digest
 
     sizes = runs.sizes
@@ -230,10 +257,18 @@ def merge_equal(runs: Runs, spans: list) -> Runs:
     order = np.lexsort((runs.start, runs.tie, runs.doc_id, digest[:, 1], digest[:, 0], runs.key))
     d, k = digest[order], runs.key[order]
     same = np.zeros(len(order), bool)
-    same[1:] = (d[1:] == d[:-1]).all(axis=1) & (k[1:] == k[:-1])
-    gone = order[same]
-    if len(gone):
-        spans.append((runs.doc_id[gone], runs.tie[gone], runs.start[gone], runs.start[gone] + sizes[gone]))
+    same[1:] = (d[1:] == d[:-1]).all(axis=1) & (k[1:] == k[:-1]) & (sizes[order[1:]] == sizes[order[:-1]])
+    at = np.flatnonzero(same)
+    if len(at):  # equal digests are checked byte by byte
+        begin, n = np.cumsum(sizes) - sizes, sizes[order[at]]
+        unlike = gather(runs.raw, begin[order[at]], n) != gather(runs.raw, begin[order[at - 1]], n)
+        same[at[np.add.reduceat(unlike, np.cumsum(n) - n, dtype=np.int64) > 0]] = False
+        # a run that came twice, of rows with the same id and text, is no repeat of itself
+        twin = np.zeros(len(order), bool)
+        twin[1:] = (runs.doc_id[order[1:]] == runs.doc_id[order[:-1]]) & (runs.tie[order[1:]] == runs.tie[order[:-1]]) & (runs.start[order[1:]] == runs.start[order[:-1]])
+        gone = order[same & ~twin]
+        if len(gone):
+            spans.append((runs.doc_id[gone], runs.tie[gone], runs.start[gone], runs.start[gone] + sizes[gone]))
     return runs.take(order[~same])
 
 
@@ -285,18 +320,38 @@ def bucket_spans(parts, length: int, sort_bytes: int = SORT_BYTES, held_bytes: i
             limit = max(held_bytes, 2 * size)
     if not held:
         return spans
-    runs = Runs.join(held)
+    # a portion of the keys at a time, so that no copy of a whole bucket is made
+    keys = np.concatenate([r.key for r in held])
+    sizes = np.concatenate([r.sizes for r in held])
+    order = np.argsort(keys, kind="stable")
+    total, sorted_keys = np.cumsum(sizes[order]), keys[order]
+    bounds, at = [], 0
+    while at < len(order):
+        stop = int(np.searchsorted(total, (int(total[at - 1]) if at else 0) + 8 * sort_bytes, side="right"))
+        at = int(np.searchsorted(sorted_keys, sorted_keys[min(max(stop, at + 1), len(order)) - 1], side="right"))  # whole keys
+        bounds.append(sorted_keys[at - 1])
+    del keys, sizes, order, total, sorted_keys
+    low = None
+    for high in bounds:
+        own = [r.take(np.flatnonzero((r.key <= high) if low is None else (r.key <= high) & (r.key > low))) for r in held]
+        sorted_spans(Runs.join(own), length, sort_bytes, spans)
+        low = high
+    return spans
+
+
+def sorted_spans(runs: Runs, length: int, sort_bytes: int, spans: list) -> None:
+    """Appends the spans of runs that have all there is of their keys."""
     _, which, count = np.unique(runs.key, return_inverse=True, return_counts=True)
     runs = runs.take(np.flatnonzero((count[which] > 1) | runs.repeats))
     if not len(runs):
-        return spans
+        return
     runs = merge_equal(runs, spans)  # sorted by key from here on
     new = np.concatenate(([True], runs.key[1:] != runs.key[:-1]))
     group = np.cumsum(new) - 1
     many = (np.bincount(group)[group] > 1) | (np.bincount(group, runs.repeats)[group] > 0)
     runs = runs.take(np.flatnonzero(many))
     if not len(runs):
-        return spans
+        return
     new = np.flatnonzero(np.concatenate(([True], runs.key[1:] != runs.key[:-1])))
     total = np.concatenate(([0], np.cumsum(runs.sizes)))
     a = 0
@@ -308,22 +363,40 @@ def bucket_spans(parts, length: int, sort_bytes: int = SORT_BYTES, held_bytes: i
             stop = len(runs)
         repeated_windows(runs.take(np.arange(a, stop)), spans)
         a = stop
-    return spans
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, tie, spans): for documents with repeats, packed spans (start * 2**32 + end... see unpack_spans), unmerged."""
+def frequent_grams(narrow: DataFrame, length: int, sample: int = SAMPLE, hot_bytes: int = HOT_BYTES) -> list[int]:
+    """Hashes of grams that would be the key of more than hot_bytes of runs, by the different texts of a sample."""
+    least = max(2, hot_bytes // (sample * 2 * length))
+    some = narrow.where(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).where(F.octet_length("text") >= length)
+
+    def keys(batches):
+        for batch in batches:
+            for a, n in slices(batch.column(0)):
+                for text in batch.column(0).slice(a, n).to_pylist():
+                    raw = utf8(text)
+                    found = [r.key for r in text_runs([(0, 0, raw)], length)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], ["key"])
+        settle()
+
+    counts = some.select("text").distinct().mapInArrow(keys, "key long").groupBy("key").count().where(F.col("count") >= least)
+    return [int(r.key) << 1 for r in counts.orderBy(F.desc("count"), "key").limit(MAX_HOT).collect()]
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, hot: list[int] | None = None) -> DataFrame:
+    """(doc_id, tie, start, end): spans of documents with repeats, unmerged. hot: hashes of frequent grams, if they are known."""
     narrow = id_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     w = length - GRAM + 1
     buckets = max(1, -(-int(total * (1 + 2 * (length - 1) / (w + 1))) // bucket_bytes))
+    ranks = Ranks(frequent_grams(narrow, length) if hot is None else hot)
 
     def cut(batches):
         from xxhash import xxh64_intdigest
 
         def emit(texts):
             by_bucket: dict[int, list[Runs]] = {}
-            for runs in text_runs(texts, length):
+            for runs in text_runs(texts, length, ranks):
                 to = (runs.key % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 runs, to = runs.take(order), to[order]
@@ -345,33 +418,34 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 number = -1 - int((data[a, 0] ^ data[a, 2]) % buckets)
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([data[a : a + 50_000].tobytes()], pa.binary())], ["bucket", "block"])
 
-        for batch in batches:
-            seen: dict[bytes, int] = {}
-            gone, texts, size = [], [], 0
-            # ascending ids, so that the first of equal texts in this batch is the earliest
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            column = batch.column(1)
-            for i in np.argsort(ids, kind="stable").tolist():
-                raw = utf8(column[i].as_py())
-                if len(raw) < length:
-                    continue
-                doc_id, tie = int(ids[i]), np.uint64(xxh64_intdigest(raw, 42)).astype(np.int64)
-                key = hashlib.blake2b(raw, digest_size=16).digest()
-                if key in seen:
-                    if seen[key] != doc_id:
-                        gone.append((doc_id, int(tie), len(raw)))
-                    continue
-                seen[key] = doc_id
-                texts.append((doc_id, int(tie), raw))
-                size += len(raw)
-                if size >= BLOCK_BYTES:
-                    yield from emit(texts)
-                    texts, size = [], 0
+        def flush():
+            # ascending ids, so that the first of equal texts is the earliest
+            held_.sort(key=lambda r: r[0])
+            first: dict[bytes, tuple] = {}
+            gone = [(i, tie, len(raw)) for i, tie, raw in held_ if first.setdefault(raw, (i, tie)) != (i, tie)]
+            texts = [(i, tie, raw) for raw, (i, tie) in first.items()]
+            held_.clear()
+            first.clear()
             yield from emit(texts)
             if gone:  # whole copies
                 ids_, ties, sizes = zip(*gone)
                 yield from known([ids_, ties, np.zeros(len(gone)), sizes])
 
+        held_, size = [], 0
+        for batch in batches:
+            for a, n in slices(batch.column(1)):
+                for i, text in zip(batch.column(0).slice(a, n).to_pylist(), batch.column(1).slice(a, n).to_pylist()):
+                    raw = utf8(text)
+                    if len(raw) < length:
+                        continue
+                    held_.append((i, int(np.uint64(xxh64_intdigest(raw, 42)).astype(np.int64)), raw))
+                    size += len(raw)
+                    if size >= BLOCK_BYTES:
+                        yield from flush()
+                        size = 0
+        yield from flush()
+        settle()
+
     def find(batches):
         def rows(spans):
             ids, ties, starts, ends = (np.concatenate(c) for c in zip(*spans))
@@ -394,34 +468,47 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             def own():
                 nonlocal item
                 while item is not None and item[0] == bucket:
-                    yield Runs.unpack(item[1], length)
+                    yield Runs.unpack(item[1], length, ranks)
                     item = next(stream, None)
 
             spans = bucket_spans(own(), length)
             if spans:
                 yield rows(spans)
+        settle()
 
     dealt = narrow.mapInArrow(cut, "bucket long, block binary").repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(find, "doc_id long, tie long, start long, end long")
 
 
-def _compressed(docs: DataFrame, text_col: str) -> DataFrame:
-    """docs with the text column as compressed bytes, for a shuffle."""
-    names = docs.columns
-    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == text_col else f for f in docs.schema])
-
-    def run(batches):
+def with_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with columns c0, c1 and so on, the text compressed (see expanded), and two columns more: starts and ends, bounds
+    of repeated spans, unordered and overlapping, or null."""
+    found = repeated_spans(docs, length, id_col, text_col).groupBy("doc_id", "tie")
+    lists = found.agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    lists = lists.select("doc_id", "tie", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
+    at, names = docs.columns.index(text_col), [f"c{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    key = {
+        "key_id": F.coalesce(F.col(names[docs.columns.index(id_col)]).cast("long"), F.lit(NULL_ID)),
+        "key_tie": F.xxhash64(F.coalesce(F.col(names[at]).cast("string"), F.lit(""))),
+    }
+    keyed = plain.withColumns(key | {names[at]: F.col(names[at]).cast("string")})
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == names[at] else f for f in keyed.schema])
+
+    def pack(batches):
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=3).compress
-        at = names.index(text_col)
+        press = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                columns = list(batch.slice(a, 2000).columns)
-                columns[at] = pa.array([None if t is None else pack(utf8(t)) for t in columns[at].to_pylist()], pa.binary())
+            for a, n in slices(batch.column(at)):
+                columns = list(batch.slice(a, n).columns)
+                columns[at] = pa.array([None if t is None else press(utf8(t)) for t in columns[at].to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+        settle()
 
-    return map_columns(docs, run, schema)
+    packed = keyed.mapInArrow(pack, schema)
+    joined = packed.join(lists, (F.col("key_id") == F.col("doc_id")) & (F.col("key_tie") == F.col("tie")), "left")
+    return joined.select(*names, "starts", "ends")
 
 
 def expanded(data: bytes | None) -> bytes | None:
@@ -430,34 +517,31 @@ def expanded(data: bytes | None) -> bytes | None:
     return None if data is None else zstandard.ZstdDecompressor().decompress(data)
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the text compressed (see expanded) and two columns more: __starts and __ends, bounds of repeated spans,
-    unordered and overlapping, or null."""
-    found = repeated_spans(docs, length, id_col, text_col).groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"))
-    lists = found.agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
-    lists = lists.select("__id", "__tie", F.col("__spans.start").alias("__starts"), F.col("__spans.end").alias("__ends"))
-    keyed = docs.withColumns(
-        {
-            "__doc_id": F.coalesce(column(docs, id_col).cast("long"), F.lit(NULL_ID)),
-            "__text_tie": F.xxhash64(F.coalesce(column(docs, text_col).cast("string"), F.lit(""))),
-        }
-    )
-    keyed = _compressed(keyed, text_col)
-    joined = keyed.join(lists, (F.col("__doc_id") == F.col("__id")) & (F.col("__text_tie") == F.col("__tie")), "left")
-    return joined.drop("__id", "__tie", "__doc_id", "__text_tie")
+def texts_with_spans(batches, at: int):
+    """(batch, list of (bytes or None, merged spans)) of slices of what with_spans gives; at: the text's column."""
+    for batch in batches:
+        for a, n in slices(batch.column(at), 1 << 20):
+            piece = batch.slice(a, n)
+            starts, ends = (piece.column(piece.num_columns - k) for k in (2, 1))
+            cuts = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(starts), 0).to_numpy(zero_copy_only=False)))).tolist()
+            x, y = (c.flatten().to_numpy(zero_copy_only=False) for c in (starts, ends))
+            out = []
+            for k, data in enumerate(piece.column(at).to_pylist()):
+                raw = expanded(data)
+                out.append((raw, merge_spans(x[cuts[k] : cuts[k + 1]], y[cuts[k] : cuts[k + 1]], len(raw or b""))))
+            yield piece, out
 
 
 def merge_spans(starts, ends, n: int) -> list[tuple[int, int]]:
-    """Maximal runs of covered bytes."""
-    if not starts:
+    """Maximal runs of covered places."""
+    if not len(starts):
         return []
-    out: list[list[int]] = []
-    for a, b in sorted(zip(starts, ends)):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, min(b, n)) for a, b in out]
+    starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
+    order = np.argsort(starts, kind="stable")
+    a, b = starts[order], np.maximum.accumulate(ends[order])
+    new = np.flatnonzero(np.concatenate(([True], a[1:] > b[:-1])))
+    last = np.concatenate((new[1:], [len(a)])) - 1
+    return list(zip(a[new].tolist(), np.minimum(b[last], n).tolist()))
 
 
 def keep(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -481,34 +565,36 @@ def on_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, i
     return out
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, spans, kept): spans as array of [start, end), kept as binary."""
+def _results(docs: DataFrame, length: int, id_col: str, text_col: str, names: list[str], last, kind: pa.DataType, schema: str) -> DataFrame:
+    """(doc_id, n_bytes, spans, ...): the last column is last(bytes, spans)."""
     joined = with_spans(id_text(docs, id_col, text_col), length)
-    narrow = joined.select("doc_id", "text", "__starts", "__ends")
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                piece = batch.slice(a, 2000)
-                n, spans, kept = [], [], []
-                for text, starts, ends in zip(*(c.to_pylist() for c in piece.columns[1:])):
-                    raw = expanded(text) or b""
-                    cut = merge_spans(starts, ends, len(raw))
-                    n.append(len(raw))
-                    spans.append([{"start": x, "end": y} for x, y in cut])
-                    kept.append(keep(raw, cut))
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+        for piece, found in texts_with_spans(batches, 1):
+            spans = [[{"start": x, "end": y} for x, y in cut] for _, cut in found]
+            columns = [piece.column(0), pa.array([len(raw or b"") for raw, _ in found], pa.int64()), pa.array(spans, kinds), pa.array([last(raw or b"", cut) for raw, cut in found], kind)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        settle()
+
+    return joined.mapInArrow(run, f"doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, {schema}")
+
+
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, spans, kept): spans as array of [start, end), kept as binary."""
+    return _results(docs, length, id_col, text_col, ["doc_id", "n_bytes", "spans", "kept"], keep, pa.binary(), "kept binary")
+
+
+def suffix_dedup_digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same with the SHA-256 of what is kept, which then never leaves the Python worker."""
+
+    def digest(raw, spans):
+        return hashlib.sha256(keep(raw, spans)).hexdigest()
 
-    return narrow.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return _results(docs, length, id_col, text_col, ["doc_id", "n_bytes", "spans", "kept_sha256"], digest, pa.string(), "kept_sha256 string")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup(load(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id",
-        "n_bytes",
-        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
-        F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
-    )
+    found = suffix_dedup_digests(load(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")

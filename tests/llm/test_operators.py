@@ -136,6 +136,16 @@ def test_simhash_documents(docs, empty):
     assert rows(simhash.near_duplicates(empty)) == []
 
 
+def test_simhash_null_ids(spark):
+    """Rows without an id link others but join nothing else, and lend no id."""
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
+    rows_ = [(5, a), (None, a + " end"), (9, b), (None, b + " fin"), (11, "lone"), (None, "nameless one")]
+    got = simhash.near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string"), radius=6).collect()
+    by_id = {r.doc_id: r.component_id for r in got if r.doc_id is not None}
+    assert by_id == {5: 5, 9: 9, 11: 11}
+    assert sorted(str(r.component_id) for r in got if r.doc_id is None) == ["5", "9", "None"]
+
+
 def test_suffix_array():
     rnd = random.Random(3)
     for _ in range(100):
@@ -206,6 +216,70 @@ def test_suffix_dedup_buckets():
         assert {d: suffix_dedup.merge_spans(*got[d], len(t)) for d, t in documents.items()} == brute_spans(documents)
 
 
+def test_suffix_dedup_frequent_grams(spark):
+    """Grams that rank behind all others change where windows go, and nothing else; a sample finds those of many texts."""
+    rnd = random.Random(12)
+    phrase = "a phrase that very many texts have in common"
+    own = {d: ("".join(rnd.choice("abcdefgh ") for _ in range(150)) + phrase + "".join(rnd.choice("abcdefgh ") for _ in range(150)) + ("z" * 120 + phrase) * (d % 3 == 0)).encode() for d in range(60)}
+    table = spark.createDataFrame([(d, t.decode()) for d, t in own.items()], "doc_id long, text string")
+    hot = suffix_dedup.frequent_grams(common.id_text(table), 100, sample=1, hot_bytes=4000)
+    grams = {int(h) >> 1 for h in suffix_dedup.gram_hashes(np.frombuffer(phrase.encode(), np.uint8)) >> np.uint64(1) << np.uint64(1)}
+    assert hot and grams & {h >> 1 for h in hot}
+    want = brute_spans(own)
+    for ranked in ([], hot, [int(h) for h in suffix_dedup.gram_hashes(np.frombuffer(own[0], np.uint8))]):
+        spans = suffix_dedup.repeated_spans(table, bucket_bytes=3000, hot=ranked).collect()
+        got = {d: suffix_dedup.merge_spans([r.start for r in spans if r.doc_id == d], [r.end for r in spans if r.doc_id == d], len(t)) for d, t in own.items()}
+        assert got == want
+
+
+def test_suffix_dedup_twins(spark):
+    """Rows with the same id and text are one document wherever they are read: neither is a copy of the other."""
+    text = " ".join(f"word{k}" for k in range(60))
+    table = spark.createDataFrame([(7, text)] * 4 + [(9, "x" + text)], "doc_id long, text string").repartition(5)
+    got = sorted((r.doc_id, len(r.spans), len(r.kept)) for r in suffix_dedup.suffix_dedup(table).collect())
+    assert got == [(7, 0, len(text))] * 4 + [(9, 1, 1)]
+
+
+def test_equal_digests_are_checked(monkeypatch):
+    """Runs whose digests agree but whose bytes don't are not taken for equal."""
+    import xxhash
+
+    monkeypatch.setattr(xxhash, "xxh3_128_digest", lambda data: b"\0" * 16)
+    own = {d: f"{d:0>110}".encode() for d in range(4)} | {9: f"{2:0>110}".encode(), 10: f"{2:0>110}".encode()}
+    runs = suffix_dedup.Runs.join(suffix_dedup.text_runs([(d, 1, t) for d, t in own.items()], 100))
+    got = {d: ([], []) for d in own}
+    for spans in suffix_dedup.bucket_spans([runs], 100):
+        for d, _, a, e in zip(*spans):
+            got[int(d)][0].append(int(a))
+            got[int(d)][1].append(int(e))
+    want = brute_spans(own)
+    assert {d: suffix_dedup.merge_spans(*got[d], len(t)) for d, t in own.items()} == want and want[9] == want[10] == [(0, 110)]
+
+
+def test_cut_pieces():
+    """Pieces put together are the text, and cutting never changes ids (see test_bpe, test_token_files)."""
+    import pyarrow as pa
+
+    from tallyframe.llm import units
+
+    rnd = random.Random(3)
+    samples = ["", None, " ", "a", "a b", "word, word.\nNext  two", "x\u00a0y z", "é.è, a!b"] + ["".join(rnd.choice("ab .,\n\té'1\u3000") for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    for array in (pa.array(samples), pa.array(samples).slice(3, 200)):
+        pieces, ends = units.cut_pieces(array)
+        got, at = [], 0
+        for e in ends.tolist():
+            got.append(b"".join(pieces.slice(at, e - at).to_pylist()))
+            at = e
+        assert got == [common.utf8(t) for t in array.to_pylist()]
+    assert units.cut_pieces(pa.array(["one, two\nthree four.", "a  b"]))[0].to_pylist() == [b"one", b",", b" two", b"\n", b"three", b" four", b".", b"a  b"]
+
+
+def test_repeated_ids_fill_many_ranges():
+    cuts = np.array([5, 5, 5, 5, 9])
+    ids, tie = np.array([1, 5, 5, 5, 5, 7, 9, 12]), np.array([0.5, 0.0, 0.3, 0.6, 0.99, 0.1, 0.2, 0.3])
+    assert tokenfile.part_of(cuts, ids, tie).tolist() == [0, 1, 2, 3, 4, 4, 5, 5]
+
+
 def test_bpe(docs, empty):
     import public_tokenizers
     import tiktoken
@@ -313,6 +387,13 @@ def test_language_id(spark, docs, empty, data):
     assert [odd[60 + k].lang_pred for k in range(4)] == ["und"] * 4 and all(0 <= r.score <= 1 for r in odd.values())
     assert rows(language_id.predict_language(empty, parser)) == []
     assert language_id.learn(empty).predict(["abc", None])[0] == ["und", "und"]
+    short = [(k, f"la casa {chr(97 + k % 26)} del rio" if k % 2 else f"the house {chr(97 + k % 26)} by it", "es" if k % 2 else "en") for k in range(200)]
+    parser = language_id.learn(spark.createDataFrame(short, "doc_id long, text string, lang string"))
+    assert parser.predict(["la casa del pueblo", "by the house", "12"])[0] == ["es", "en", "und"]
+    many = [(k, f"{chr(0x4E00 + k)} abc", f"l{k:04}") for k in range(60)] + [(900, "zz yy xx", "a"), (901, "zz yy xx", "a")]
+    table = spark.createDataFrame(many, "doc_id long, text string, lang string")
+    assert language_id.learn(table, max_languages=3).languages == ["a", "l0000", "l0001"]  # most rows, then names
+    assert len(language_id.learn(table).languages) == 61
 
 
 def test_quality(spark, docs, empty):

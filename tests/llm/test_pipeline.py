@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tallyframe.llm import common, decontaminate, simhash, suffix_dedup
+from tallyframe.llm import common, decontaminate, suffix_dedup
 
 from test_operators import SCHEMA, brute_spans, texts
 
@@ -36,17 +36,7 @@ def test_stages(spark, data):
     assert all(after[i] == before[i] for i in after)
 
     before, after = map(as_rows, done["SimHash near-dedup"])
-    fp = {i: simhash.fingerprint(r.text) for i, r in before.items()}
-    label = {i: i for i in fp}
-    changed = True
-    while changed:
-        changed = False
-        for a in fp:
-            for b in fp:
-                if label[a] != label[b] and (fp[a] ^ fp[b]).bit_count() <= 3:
-                    label[a] = label[b] = min(label[a], label[b])
-                    changed = True
-    assert set(after) == set(label.values()) and all(after[i] == before[i] for i in after)
+    assert set(after) == least_of_near_copies(before) and all(after[i] == before[i] for i in after)
 
     before, after = map(as_rows, done["suffix-array dedup"])
     raw = {i: r.text.encode() for i, r in before.items()}
@@ -82,23 +72,38 @@ def test_odd_tables(spark, data, size):
     assert docs.where(F.col("doc_id").isNull()).count() <= 2
 
 
-def test_near_copies_by_shingles(spark, data):
-    """The near-dedup stage against brute force over all pairs: five-word shingles, Jaccard similarity 0.8 or more."""
+def least_of_near_copies(rows):
+    """Brute force over all pairs: five-word shingles, Jaccard similarity 0.8 or more, step by step; the least id of each."""
     from itertools import combinations
 
-    docs = common.load(spark, data, "documents")
-    before = as_rows(docs)
     sets = {}
-    for i, r in before.items():
+    for i, r in rows.items():
         words = r.text.lower().split()
         sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-    label = {i: i for i in before}
-    for a, b in combinations(sorted(before), 2):
+    label = {i: i for i in rows}
+    for a, b in combinations(sorted(rows), 2):
         if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
             low, high = sorted((label[a], label[b]))
             label = {i: low if x == high else x for i, x in label.items()}
-    after = as_rows(pipeline.drop_near_duplicates(spark, docs, data))
-    assert set(after) == set(label.values()) and all(after[i] == before[i] for i in after)
+    return set(label.values())
+
+
+def test_near_copies_by_shingles(spark, data):
+    docs = common.load(spark, data, "documents")
+    before, after = as_rows(docs), as_rows(pipeline.drop_near_duplicates(spark, docs, data))
+    assert set(after) == least_of_near_copies(before) and all(after[i] == before[i] for i in after)
+
+
+def test_clashing_names(spark, data):
+    """Extra columns may have any names, those that the stages use themselves too."""
+    extra = ["__starts", "__ends", "__id", "__tie", "__doc_id", "__text_tie", "__digest", "node", "c0", "id", "digest", "starts", "key_id", "spans"]
+    rows = [(i, t, "en", *range(len(extra))) for i, t in texts()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{n}` int" for n in extra))
+    for k, (_, stage) in enumerate(pipeline.STAGES[:4]):
+        docs = common.materialize(stage(spark, docs, data), f"clash-{k}")
+        assert docs.columns == ["doc_id", "text", "lang", *extra]
+        assert all(list(r)[3:] == list(range(len(extra))) for r in docs.collect())
+    assert docs.count() > 20
 
 
 def test_near_copies_clear_of_others(spark):
@@ -123,6 +128,9 @@ def test_languages_of_many_letters_stay(spark):
     rows = [(k, "".join(rng.choices(han, k=300)), "zh") for k in range(40)] + [(100 + k, "the quick brown fox jumps over the lazy dog " * 5, "en") for k in range(40)]
     rows += [(200, "a", None), (201, "бвгджзик лмнопрст", None), (202, "12 34", None)]
     got = pipeline.keep_known_languages(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    short = [(k, f"la casa numero {chr(97 + k % 26)} del pueblo" if k % 2 else f"the house number {chr(97 + k % 26)} in town", "es" if k % 2 else "en") for k in range(200)]
+    kept = pipeline.keep_known_languages(spark, spark.createDataFrame(short, "doc_id long, text string, lang string"), "")
+    assert kept.count() == 200
     assert {r[0] for r in rows} - {r.doc_id for r in got.collect()} == {201, 202}
 
 
