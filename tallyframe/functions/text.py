@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 _SPACE = "(?U)[\\s\\x1c-\\x1f]+"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used: optimisers don't inline an array's element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, "(?U)^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$", "")
 
@@ -82,12 +87,15 @@ TRANSFORMS: dict[str, Callable[[Column], Column]] = {
 
 
 def natural_key(text: Column) -> Column:
-    """Digit runs as numbers, before and between lower-cased text: an array that sorts as people would."""
-    return F.transform(
-        F.regexp_extract_all(text, F.lit("([0-9]+|[^0-9]+)"), F.lit(1)),
-        lambda p: F.struct(
-            F.when(p.rlike("^[0-9]"), 0).otherwise(1).alias("kind"),
-            F.when(p.rlike("^[0-9]"), p.cast("decimal(38,0)")).alias("number"),
-            F.when(~p.rlike("^[0-9]"), F.lower(p)).alias("word"),
-        ),
-    )
+    """Digit runs as numbers, before and between lower-cased text: an array that sorts as people would.
+
+    A number is its digits without leading zeros, the longer one being the larger, so that none is too long.
+    """
+
+    def part(p: Column) -> Column:
+        digits, number = F.regexp_replace(p, "^0+(?=[0-9])", ""), p.rlike("^[0-9]")
+        return F.struct(
+            F.when(number, 0).otherwise(1).alias("kind"), F.when(number, F.length(digits)).alias("size"), F.when(number, digits).otherwise(F.lower(p)).alias("word")
+        )
+
+    return F.transform(F.regexp_extract_all(text, F.lit("([0-9]+|[^0-9]+)"), F.lit(1)), part)

@@ -6,8 +6,11 @@ parts are, so 3, "3" and 3.0 differ.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SCALAR = "struct<t:string,s:string>"
 
@@ -44,6 +47,57 @@ def number_json(number: Column) -> Column:
     return F.coalesce(number.cast("string"), F.lit("null"))
 
 
+def double_text(number: Column) -> Column:
+    """A finite double as Python and JSON write it: an exponent only below 1e-4 and from 1e16 on. Others are refused."""
+    text = number.cast("double").cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    digits = F.regexp_replace(F.substring_index(text, "E", 1), "^-|\\.0$|\\.", "")
+    whole = F.length(F.regexp_replace(F.substring_index(F.substring_index(text, "E", 1), ".", 1), "^-", ""))
+    at = F.when(text.contains("E"), F.substring_index(text, "E", -1).cast("int")).otherwise(0) + whole  # digits before the point
+    n = F.length(digits)
+    plain = (
+        F.when(at <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -at), digits))
+        .when(at >= n, F.concat(digits, F.repeat(F.lit("0"), at - n), F.lit(".0")))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), at), F.lit("."), F.substring(digits, at + 1, n)))
+    )
+    power = at - 1
+    short = F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise(""), F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    out = F.when(~text.contains("E"), text).otherwise(F.concat(sign, F.when((power < -4) | (power >= 16), short).otherwise(plain)))
+    bad = F.isnan(number.cast("double")) | (F.abs(number.cast("double")) == float("inf"))
+    return F.when(bad, F.raise_error(F.lit("NaN and infinity are not JSON"))).otherwise(out)
+
+
+def json_value(value: Column, kind: T.DataType) -> Column:
+    """Canonical JSON text of a column of any type: sorted keys, compact, nulls kept. Scalars {t, s} are the value they hold."""
+    if isinstance(kind, T.StringType):
+        out = quoted(value)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        out = double_text(value)
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        out = quoted(value.cast("string"))
+    elif isinstance(kind, (T.IntegralType, T.BooleanType, T.DecimalType)):
+        out = value.cast("string")
+    elif isinstance(kind, T.ArrayType):
+        out = F.concat(F.lit("["), F.array_join(F.transform(value, lambda x: json_value(x, kind.elementType)), ","), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        if not isinstance(kind.keyType, T.StringType):
+            raise TypeError("keys of JSON objects are strings")
+        pairs = F.array_sort(F.transform(F.map_entries(value), lambda e: F.struct(e["key"].alias("k"), json_value(e["value"], kind.valueType).alias("v"))))
+        out = F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda e: F.concat(quoted(e["k"]), F.lit(":"), e["v"])), ","), F.lit("}"))
+    elif isinstance(kind, T.StructType) and kind.names == ["t", "s"]:
+        return scalar_json(value)
+    elif isinstance(kind, T.StructType):
+        out = json_object({f.name: json_value(value[f.name], f.dataType) for f in kind})
+    else:
+        raise TypeError(f"{kind.simpleString()} has no JSON form")
+    return F.when(value.isNull(), F.lit("null")).otherwise(out)
+
+
+def json_row(schema: T.StructType) -> Column:
+    """Canonical JSON object of a row."""
+    return json_object({f.name: json_value(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in schema})
+
+
 def json_array(parts: list[Column]) -> Column:
     """Compact JSON array of JSON texts."""
     return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
@@ -53,7 +107,7 @@ def json_object(parts: dict[str, Column]) -> Column:
     """Compact JSON object with sorted keys, nulls kept."""
     pairs = []
     for k in sorted(parts):
-        pairs += [F.lit(("," if pairs else "{") + '"' + k + '":'), parts[k]]
+        pairs += [F.lit(("," if pairs else "{") + json.dumps(k, ensure_ascii=False) + ":"), parts[k]]
     return F.concat(*pairs, F.lit("}")) if pairs else F.lit("{}")
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TRANSFORMS, canonical_number
+from ..functions.text import TRANSFORMS, canonical_number, once
 
 
 class NormalizationCollisionError(ValueError):
@@ -17,11 +17,15 @@ class NormalizationCollisionError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
-    """Transforms in order, then literal replacements in order, then texts that count as null."""
+    """Transforms in order, then literal replacements in order, then values that count as null.
+
+    Missing values are JSON scalars: a text is compared with texts, a number or boolean with numbers and booleans by value
+    (0, 0.0 and false are the same).
+    """
 
     transforms: Sequence[str] = ("nfkc", "strip", "collapse_whitespace")
     replacements: Mapping[str, str] = field(default_factory=dict)
-    missing: Sequence[str] = ("",)
+    missing: Sequence[str | int | float | bool | None] = ("",)
 
     def apply(self, value: Column, custom: Mapping[str, Callable[[Column], Column]] | None = None) -> Column:
         """Normalised scalar. Text transforms leave other types as they are; canonical_number also writes numbers as text."""
@@ -41,8 +45,17 @@ class Rule:
         text = F.when(kind == "str", text).otherwise(other)
         if numbers:
             kind = F.when(kind.isin("int", "float"), "str").otherwise(kind)
-        gone = (kind == "str") & text.isin(list(self.missing)) if self.missing else F.lit(False)
-        return F.when(value.isNotNull() & ~gone, F.struct(kind.alias("t"), text.alias("s")))
+        made = F.when(value.isNotNull(), F.struct(kind.alias("t"), text.alias("s")))
+        return once(made, lambda v: F.when(~self._gone(v), v)) if self.missing else made
+
+    def _gone(self, value: Column) -> Column:
+        texts = [m for m in self.missing if isinstance(m, str)]
+        numbers = sorted({float(m) for m in self.missing if isinstance(m, (bool, int, float))})
+        gone = (value["t"] == "str") & value["s"].isin(texts) if texts else F.lit(False)
+        if numbers:
+            as_number = F.when(value["t"] == "bool", (value["s"] == "true").cast("double")).when(value["t"].isin("int", "float"), value["s"].try_cast("double"))
+            gone = gone | F.coalesce(as_number.isin(numbers), F.lit(False))
+        return gone
 
 
 @dataclass(frozen=True)
