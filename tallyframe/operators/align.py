@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ..functions.typed import record_id, scalar_json
 SECTION = ("document_id", "page_id", "table_id")
 
 
+# The defaults are fixed values.
 @dataclass(frozen=True)
 class AlignmentConfig:
     """default_weight applies to fields without a weight; with no weights at all every field weighs 1."""
@@ -51,13 +53,20 @@ def _with_record_id(records: DataFrame) -> DataFrame:
     )
 
 
+def _member(rows: DataFrame):
+    """What a record keeps of a row; tables without references or metadata have none."""
+    ref = F.col("source_ref") if "source_ref" in rows.columns else F.lit(None).cast("string").alias("source_ref")
+    metadata = F.coalesce("metadata_json", F.lit("{}")) if "metadata_json" in rows.columns else F.lit("{}")
+    return F.struct("engine_id", "engine_version", "row_index", "page_index", "printed_page_label", ref, metadata.alias("metadata_json"), "row_uid", "pos", "norm")
+
+
 def align_by_key(rows: DataFrame, anchor_engine: str | None = None) -> DataFrame:
     """Records of rows with the same typed row index in a section.
 
     Rows are dealt out by section once; grouping by key and numbering both use that. Ordinals follow the first position of
     a record in any engine, by row index.
     """
-    member = F.struct("engine_id", "engine_version", "row_index", "page_index", "printed_page_label", "row_uid", "pos", "norm")
+    member = _member(rows)
     dealt = rows.repartition(*SECTION)
     grouped = dealt.groupBy(*SECTION, "row_index").agg(F.array_sort(F.collect_list(member), lambda a, b: F.when(a["engine_id"] < b["engine_id"], -1).when(a["engine_id"] > b["engine_id"], 1).otherwise(0)).alias("members"))
     engines = F.transform("members", lambda m: m["engine_id"])
@@ -71,8 +80,9 @@ def align_by_key(rows: DataFrame, anchor_engine: str | None = None) -> DataFrame
 class SectionAligner:
     """Progressive alignment of one section. Rows are dicts of field to (type, text) or None.
 
-    Similarities are kept for each pair of distinct texts, and a pair whose upper bound is below what can count as a match
-    is not compared in full, which leaves every score as it would be.
+    Comparing two texts in full is what costs, so bounds from above (characters in common, whatever their order) and from
+    below (equal values) are computed for all pairs at once. Alignments by the bounds alone show which pairs can be on a best
+    path at all; only these are compared in full, which leaves the result, ties included, as it would be.
     """
 
     def __init__(self, config: AlignmentConfig):
@@ -103,45 +113,90 @@ class SectionAligner:
                 weight_sum += w
         return total / weight_sum if weight_sum else 0.0
 
-    def bound(self, a: dict, b: dict) -> float:
-        """At least row_similarity, cheaply: shared characters by length only."""
-        total = weight_sum = 0.0
-        for name in a.keys() & b.keys():
-            w, x, y = self.config.weight(name), a[name], b[name]
-            if w > 0 and x is not None and y is not None:
-                weight_sum += w
-                if x == y:
-                    total += w
-                elif self.config.fuzzy_strings and x[0] == y[0] == "str":
-                    total += w * 2 * min(len(x[1]), len(y[1])) / max(1, len(x[1]) + len(y[1]))
-        return total / weight_sum if weight_sum else 0.0
-
     def increment(self, group: list[dict], row: dict) -> float:
         """What pairing a group with a row adds: its most similar member's similarity, if that is a match."""
-        least = self.config.minimum_match_similarity
-        best = max((self.row_similarity(m, row) for m in group if self.bound(m, row) >= least - 1e-9), default=-1.0)
-        return best if best >= least else self.config.mismatch_penalty
+        best = max((self.row_similarity(m, row) for m in group), default=-1.0)
+        return best if best >= self.config.minimum_match_similarity else self.config.mismatch_penalty
+
+    def bounds(self, left: list[dict], right: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        """At least and at most the similarity of each row of left with each of right."""
+        shape = (len(left), len(right))
+        most, least, weight = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+        for name in sorted({f for r in (*left, *right) for f in r}):
+            w = self.config.weight(name)
+            if w <= 0:
+                continue
+            kinds: dict = {}
+            ids = [np.array([-1 if r.get(name) is None else kinds.setdefault(r[name], len(kinds)) for r in rows], np.int64) for rows in (left, right)]
+            own, rows, cols = list(kinds), *(np.unique(i[i >= 0]) for i in ids)
+            if not len(rows) or not len(cols):
+                continue
+            equal = (rows[:, None] == cols[None, :]).astype(float)
+            upper = equal
+            if self.config.fuzzy_strings:
+                text = np.array([v[0] == "str" for v in own])
+                size = np.array([len(v[1]) for v in own], float)
+                letters = {c: k for k, c in enumerate(sorted({c for v in own if v[0] == "str" for c in v[1]}))}
+                count = np.zeros((len(own), len(letters)), np.int32)
+                for i, v in enumerate(own):
+                    for c in v[1] if v[0] == "str" else ():
+                        count[i, letters[c]] += 1
+                shared = np.zeros(equal.shape)
+                for k in range(len(letters)):
+                    shared += np.minimum.outer(count[rows, k], count[cols, k])
+                ratio = 2 * shared / np.maximum(1, size[rows][:, None] + size[cols][None, :])
+                upper = np.where(text[rows][:, None] & text[cols][None, :], np.maximum(ratio, equal), equal)
+            a, b = (np.searchsorted(u, i) for u, i in zip((rows, cols), ids))
+            has = (ids[0] >= 0)[:, None] & (ids[1] >= 0)[None, :]
+            at = np.ix_(np.minimum(a, len(rows) - 1), np.minimum(b, len(cols) - 1))
+            weight += w * has
+            most += np.where(has, w * upper[at], 0)
+            least += np.where(has, w * equal[at], 0)
+        weight = np.where(weight > 0, weight, 1)
+        return most / weight, least / weight
+
+    def scores(self, gain: np.ndarray) -> np.ndarray:
+        """Best score of aligning the first i and the first j, up to rounding."""
+        gap, (n, m) = self.config.gap_penalty, gain.shape
+        across = gap * np.arange(m + 1)
+        table = np.empty((n + 1, m + 1))
+        table[0] = across
+        for i in range(1, n + 1):
+            best = np.concatenate(([table[i - 1, 0] + gap], np.maximum(table[i - 1, 1:] + gap, table[i - 1, :-1] + gain[i - 1])))
+            table[i] = np.maximum.accumulate(best - across) + across
+        return table
 
     def merge(self, groups: list[list], rows: list, cells) -> list[list]:
         """Global alignment of groups and one more engine's rows; equal scores prefer a pair, then a group alone."""
-        gap, n, m = self.config.gap_penalty, len(groups), len(rows)
-        members = [[cells(x) for x in g] for g in groups]
-        table = [[0.0] * (m + 1) for _ in range(n + 1)]
-        move = [["left"] * (m + 1) for _ in range(n + 1)]
-        for j in range(1, m + 1):
-            table[0][j] = table[0][j - 1] + gap
-        for i in range(1, n + 1):
-            table[i][0], move[i][0] = table[i - 1][0] + gap, "up"
-            for j in range(1, m + 1):
-                best, step = table[i - 1][j - 1] + self.increment(members[i - 1], cells(rows[j - 1])), "pair"
-                if (up := table[i - 1][j] + gap) > best:
-                    best, step = up, "up"
-                if (left := table[i][j - 1] + gap) > best:
-                    best, step = left, "left"
-                table[i][j], move[i][j] = best, step
+        gap, bad, n, m = self.config.gap_penalty, self.config.mismatch_penalty, len(groups), len(rows)
+        members, new = [[cells(x) for x in g] for g in groups], [cells(x) for x in rows]
+        flat = [c for g in members for c in g]
+        starts = np.cumsum([0, *(len(g) for g in members[:-1])])
+        most, least = (np.maximum.reduceat(x, starts, axis=0) for x in self.bounds(flat, new))
+        match = self.config.minimum_match_similarity
+        best = np.where(most >= match - 1e-9, most, bad)
+        there, back = self.scores(best), self.scores(best[::-1, ::-1])[::-1, ::-1]
+        floor = self.scores(np.where(least >= match, least, bad))[n, m] - 1e-6 * (n + m)
+        open_ = there + back >= floor  # places on a path that may be the best
+        paired = there[:-1, :-1] + best + back[1:, 1:] >= floor
+        moves: list[dict[int, str]] = []
+        before: dict[int, float] = {}
+        for i in range(n + 1):
+            now, steps = {}, {}
+            for j in np.flatnonzero(open_[i]).tolist():
+                score, step = (0.0, "") if i == j == 0 else (-np.inf, "")
+                if i and j and (j - 1) in before and paired[i - 1, j - 1]:
+                    score, step = before[j - 1] + self.increment(members[i - 1], new[j - 1]), "pair"
+                if i and j in before and (up := before[j] + gap) > score:
+                    score, step = up, "up"
+                if j and (j - 1) in now and (left := now[j - 1] + gap) > score:
+                    score, step = left, "left"
+                now[j], steps[j] = score, step
+            before = now
+            moves.append(steps)
         out, i, j = [], n, m
         while i or j:
-            step = move[i][j]
+            step = moves[i][j]
             if step == "pair":
                 i, j = i - 1, j - 1
                 out.append([*groups[i], rows[j]])
@@ -167,7 +222,11 @@ def align_fuzzy(rows: DataFrame, config: AlignmentConfig) -> DataFrame:
 
     Only what the similarity reads goes to Python. Ties and gaps resolve as in ``SectionAligner``.
     """
-    slim = rows.select(*SECTION, "engine_id", "pos", "row_uid", F.transform(F.map_entries("norm"), lambda e: F.struct(e["key"].alias("f"), e["value"]["value"]["t"].alias("t"), e["value"]["value"]["s"].alias("s"))).alias("values"))
+    entries = F.map_entries("norm")
+    if config.weights and config.default_weight == 0:
+        counted = [f for f, w in config.weights.items() if w > 0]
+        entries = F.filter(entries, lambda e: e["key"].isin(counted)) if counted else F.filter(entries, lambda e: F.lit(False))
+    slim = rows.select(*SECTION, "engine_id", "pos", "row_uid", F.transform(entries, lambda e: F.struct(e["key"].alias("f"), e["value"]["value"]["t"].alias("t"), e["value"]["value"]["s"].alias("s"))).alias("values"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         engines: dict[str, list] = {}
@@ -187,7 +246,7 @@ def align_fuzzy(rows: DataFrame, config: AlignmentConfig) -> DataFrame:
 
 def records_of(aligned: DataFrame, rows: DataFrame) -> DataFrame:
     """Records with their members, from the long form of an alignment."""
-    member = F.struct("engine_id", "engine_version", "row_index", "page_index", "printed_page_label", "row_uid", "pos", "norm")
+    member = _member(rows)
     joined = aligned.join(rows.drop(*SECTION), "row_uid")
     grouped = joined.groupBy(*SECTION, "ordinal", "anchor_engine_id").agg(F.array_sort(F.collect_list(member), lambda a, b: F.when(a["engine_id"] < b["engine_id"], -1).when(a["engine_id"] > b["engine_id"], 1).otherwise(0)).alias("members"))
     return _with_record_id(grouped)
