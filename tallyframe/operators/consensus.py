@@ -36,15 +36,20 @@ def expected_engines(rows: DataFrame, given: Sequence[str] | None = None) -> lis
 
 
 def provenance_json(member: Column, document: Column, page: Column, table: Column) -> Column:
+    """Origin of a member's row, whole: it is what a candidate's id covers."""
     return json_object(
         {
             "document_id": text_json(document), "page_id": text_json(page), "table_id": text_json(table), "engine_id": text_json(member["engine_id"]),
             "engine_version": text_json(member["engine_version"]), "source_row_index": scalar_json(member["row_index"]), "source_pdf_page_index": scalar_json(member["page_index"]),
-            "printed_page_label": text_json(member["printed_page_label"]),
+            "printed_page_label": text_json(member["printed_page_label"]), "source_ref": text_json(member["source_ref"]), "metadata": member["metadata_json"],
         }
     )
 
 
+#: A decision as a cell holds it. metadata_json also has the source event's id and type, if there was one.
+DECISION = f"struct<decision_id:string,chosen:{SCALAR},candidate_id:string,reason:string,reviewer:string,decided_at:string,source_decision_id:string,metadata_json:string>"
+
+
 def with_votes(df: DataFrame, n_expected: int, config: ConsensusConfig) -> DataFrame:
     """Adds status and chosen to rows with ``_values``, the scalars (null ones too) that the engines have.
 
@@ -95,7 +100,7 @@ def cells(records: DataFrame, fields: Sequence[str], expected: Sequence[str], co
     return made.select(
         "record_id", cell_id(F.col("record_id"), field).alias("cell_id"), "document_id", "page_id", "table_id", "ordinal", "anchor_engine_id", "field", "field_pos",
         "status", "chosen", "candidates", F.transform(support, lambda c: c["candidate_id"]).alias("supporting_candidate_ids"), missing.alias("missing_engine_ids"),
-        F.lit(None).cast(f"struct<decision_id:string,chosen:{SCALAR},candidate_id:string,reason:string,reviewer:string,decided_at:string,source_decision_id:string>").alias("decision"),
+        F.lit(None).cast(DECISION).alias("decision"),
     )
 
 

@@ -20,9 +20,12 @@ def reconcile_stream(rows: DataFrame, profile: Profile, expected: list[str], pat
     def batch(df: DataFrame, number: int) -> None:
         if df.isEmpty():
             return
-        cells = reconcile(df, profile, expected).cells
-        cells.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        if finish:
-            finish(cells, number)
+        found = reconcile(df, profile, expected)  # writes its rows, records and cells once
+        try:
+            found.cells.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            if finish:
+                finish(found.cells, number)
+        finally:
+            found.close()
 
     return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).start()
