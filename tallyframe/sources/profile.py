@@ -57,6 +57,10 @@ class Profile:
     def page_index_required(self) -> bool:
         return bool((self.section("page_identity").get("source_pdf_page_index") or {}).get("required", False))
 
+    def page_identity_required(self) -> bool:
+        """Whether validation asks for a page index of every source; admission has a key of its own, see above."""
+        return bool(self.section("quality").get("require_complete_page_identity", False))
+
     def prices(self) -> PriceConfig:
         rules = self.section("normalization")
         own = rules.get("amounts") or rules.get("prices") or {}
@@ -85,7 +89,7 @@ def _rule(value) -> Rule:
         return Rule(transforms=_texts(value))
     return Rule(
         transforms=_texts(value.get("transforms", Rule.transforms)), replacements=dict(value.get("replacements") or {}),
-        missing=tuple(str(v) for v in value.get("missing_values", Rule.missing) if isinstance(v, str)),
+        missing=tuple(value.get("missing_values", Rule.missing) or ()),
     )
 
 
@@ -101,8 +105,10 @@ def parse_profile(raw: Any) -> Profile:
         if not isinstance(f, Mapping) or not f.get("name"):
             raise ProfileError("each field needs a name")
         names.append(str(f["name"]))
-        if f.get("semantic_role"):
-            roles.setdefault(str(f["semantic_role"]), str(f["name"]))
+        if role := f.get("semantic_role"):
+            if str(role) in roles and role in ("quantity", "date", "amount", "amount_unit"):
+                raise ProfileError(f"several fields have the semantic role {role}")
+            roles.setdefault(str(role), str(f["name"]))
     if len(set(names)) != len(names):
         raise ProfileError("duplicate fields")
     profile = Profile(str(raw["name"]), str(raw["profile_version"]), tuple(names), roles, raw)
@@ -114,6 +120,8 @@ def load_profile(path: str) -> Profile:
     import yaml
 
     with open(path, encoding="utf-8") as f:
-        return parse_profile(yaml.safe_load(f))
-
-
+        try:
+            raw = yaml.safe_load(f)
+        except yaml.YAMLError as e:
+            raise ProfileError(f"{path}: {e}") from e
+    return parse_profile(raw)
