@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from ..functions import scan as secrets
 from ..functions import text
 from ..functions.dates import parse_date
-from ..functions.prices import numeric, parse_quantity, price_rows, segments
+from ..functions.prices import numeric, parse_quantity, segments
 from ..functions.typed import quoted, scalar_json
 from ..operators import admission, align, decisions, enrich, quality, review
-from ..operators.consensus import missing_engines, resolved
-from ..operators.normalize import collisions, normalized_rows, observations
+from ..operators.consensus import missing_engines
+from ..operators.normalize import Rule, collisions, normalized_rows, observations
+from ..sources import artifacts, jsonl, sinks, transcription
+from ..sources.profile import parse_profile
+from ..sources.work import materialize, new_path
 from . import feeds
 from .feeds import CENTURY, ENGINES, FIELDS, NORMALIZATION, PRICES, ROLES
 
@@ -55,11 +58,6 @@ def consensus_cells(spark, sf_dir):
     return feeds.cells(spark, sf_dir).select("record_id", "cell_id", "field", "status", F.col("chosen.t").alias("chosen_t"), F.col("chosen.s").alias("chosen"))
 
 
-@query("SELECT record_id, field, chosen FROM cell WHERE status = 'majority'")
-def consensus_majority(spark, sf_dir):
-    return feeds.cells(spark, sf_dir).where("status = 'majority'").select("record_id", "field", F.col("chosen.s").alias("chosen"))
-
-
 @query("""SELECT i.record_id, concat_ws(',', CASE WHEN i.k % 11 = 3 THEN 'beta' END, CASE WHEN i.k % 13 = 5 THEN 'gamma' END) AS missing FROM ids i""")
 def missing_engines_by_record(spark, sf_dir):
     return missing_engines(feeds.records(spark, sf_dir), ENGINES).select("record_id", F.array_join("missing_engine_ids", ",").alias("missing"))
@@ -90,18 +88,11 @@ def normalize_text(spark, sf_dir):
     return long.select("engine_id", "k", "field", F.col("c.raw.s").alias("raw"), F.col("c.value.s").alias("value"))
 
 
-@query(r"""SELECT conv_id, turn, trim(regexp_replace(text, '[ \t\n\r\x0b\f\x1c-\x1f]+', ' ', 'g')) AS collapsed, regexp_replace(text, '[ \t\n\r\x0b\f\x1c-\x1f]+', '', 'g') AS removed
-FROM conversations WHERE regexp_full_match(text, '[\x00-\x7f]*')""", feed=False)
-def normalize_whitespace(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").where(F.col("text").rlike("^[\\x00-\\x7f]*$"))
-    return rows.select("conv_id", "turn", text.collapse_whitespace(F.col("text")).alias("collapsed"), text.remove_whitespace(F.col("text")).alias("removed"))
-
-
 _BLANK = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 @query(f"SELECT conv_id, turn, trim(regexp_replace(text, '{_BLANK}', ' ', 'g')) AS collapsed, regexp_replace(text, '{_BLANK}', '', 'g') AS removed FROM conversations", feed=False)
-def normalize_whitespace_all(spark, sf_dir):
+def normalize_whitespace(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
     return rows.select("conv_id", "turn", text.collapse_whitespace(F.col("text")).alias("collapsed"), text.remove_whitespace(F.col("text")).alias("removed"))
 
@@ -133,16 +124,8 @@ def field_alias(spark, sf_dir):
     return rows.select("engine_id", _k().alias("k"), F.explode("norm").alias("field", "c")).select("engine_id", "k", "field", F.col("c.value.s").alias("value"))
 
 
-@query("SELECT engine_id || ':' || CAST(k AS VARCHAR) AS row_uid, 'label' AS field, 2 AS n FROM feed WHERE k % 100 = 0")
-def alias_collisions(spark, sf_dir):
-    from ..operators.normalize import Normalization
-
-    rows = feeds.engine_rows(spark, sf_dir).where(_k() % 100 == 0)
-    return collisions(rows, FIELDS, Normalization(aliases={"note": "label", "item_name": "label"}))
-
-
 @query("SELECT engine_id || ':' || CAST(k AS VARCHAR) AS row_uid, 'label' AS field, 2 AS n FROM feed")
-def alias_collisions_all(spark, sf_dir):
+def alias_collisions(spark, sf_dir):
     from ..operators.normalize import Normalization
 
     return collisions(feeds.engine_rows(spark, sf_dir), FIELDS, Normalization(aliases={"note": "label", "item_name": "label"}))
@@ -176,14 +159,8 @@ def canonical_json_text(spark, sf_dir):
     return c.select("c_custkey", quoted(F.concat(F.col("c_name"), F.lit('\n"'), F.col("c_mktsegment"), F.lit("\\"))).alias("quoted"))
 
 
-@query("SELECT page_id FROM (SELECT DISTINCT CONCAT('page-', CAST(k // 50 AS VARCHAR)) AS page_id, k // 50 AS p FROM feed) ORDER BY p LIMIT 25")
-def natural_section_order(spark, sf_dir):
-    pages = feeds.engine_rows(spark, sf_dir).select("page_id").distinct()
-    return pages.orderBy(text.natural_key(F.col("page_id"))).limit(25)
-
-
 @query("SELECT page_id, row_number() OVER (ORDER BY p) AS n FROM (SELECT DISTINCT CONCAT('page-', CAST(k // 50 AS VARCHAR)) AS page_id, k // 50 AS p FROM feed)")
-def natural_section_rank(spark, sf_dir):
+def natural_section_order(spark, sf_dir):
     pages = feeds.engine_rows(spark, sf_dir).select("page_id").distinct()
     ordered = pages.orderBy(text.natural_key(F.col("page_id")), "page_id").select("page_id")
     return spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (r[0].page_id, r[1] + 1)), "page_id string, n long")
@@ -280,7 +257,7 @@ def _decisions(cells):
     nothing = F.lit(None).cast("string")
     return cells.where("status = 'conflict' AND field = 'item_name'").select(
         "cell_id", first["value"].alias("chosen"), F.when(even, first["candidate_id"]).alias("candidate_id"), F.lit("seen").alias("reason"), F.lit("r").alias("reviewer"),
-        F.lit("2024-01-01").alias("decided_at"), nothing.alias("decision_id"), nothing.alias("source_decision_id"),
+        F.lit("2024-01-01").alias("decided_at"), nothing.alias("decision_id"), nothing.alias("source_decision_id"), F.lit("{}").alias("metadata_json"),
     )
 
 
@@ -308,7 +285,7 @@ def decision_violations(spark, sf_dir):
 
 
 def _events(spark, records, kind, fields):
-    """Events on the records of rows k % 50 = 2 (and the last of a section), from their own evidence."""
+    """Events on all records and the fields, from their own evidence."""
     alpha = F.get(F.filter("members", lambda m: m["engine_id"] == "alpha"), F.lit(0))
     rows = records.withColumn("_a", alpha).withColumn("_k", F.col("_a.row_index.s").cast("long"))
     nothing = F.lit(None).cast("string")
@@ -323,16 +300,8 @@ def _events(spark, records, kind, fields):
     )
 
 
-@query("SELECT concat('ev-', CAST(k AS VARCHAR)) AS event_id, 'item_name' AS field, CAST(1 AS BIGINT) AS n_records, record_id FROM ids WHERE k % 10 = 2 UNION ALL SELECT 'lost', 'item_name', 0, NULL")
-def event_locator(spark, sf_dir):
-    records = feeds.records(spark, sf_dir)
-    events = _events(spark, records, "choose_candidate", ["item_name"]).where("_k % 10 = 2")
-    lost = events.limit(1).withColumns({"event_id": F.lit("lost"), "page_id": F.lit("nowhere")})
-    return decisions.locate(events.unionByName(lost).drop("_k"), records)
-
-
 @query("SELECT concat('ev-', CAST(k AS VARCHAR)) AS event_id, 'item_name' AS field, CAST(1 AS BIGINT) AS n_records, record_id FROM ids UNION ALL SELECT 'lost', 'item_name', 0, NULL")
-def event_locator_all(spark, sf_dir):
+def event_locator(spark, sf_dir):
     records = feeds.records(spark, sf_dir)
     events = _events(spark, records, "choose_candidate", ["item_name"])
     lost = events.limit(1).withColumns({"event_id": F.lit("lost"), "page_id": F.lit("nowhere")})
@@ -343,14 +312,14 @@ def event_locator_all(spark, sf_dir):
 FROM cell c JOIN val a ON a.k = c.k AND a.field = c.field AND a.engine_id = 'alpha' WHERE c.field = 'item_name'""")
 def compile_choose(spark, sf_dir):
     records, cells = feeds.records(spark, sf_dir), feeds.cells(spark, sf_dir)
-    made = decisions.compile_choose(_events(spark, records, "choose_candidate", ["item_name"]).drop("_k"), records, cells)
+    made = decisions.compile_choose(_events(spark, records, "choose_candidate", ["item_name"]).drop("_k"), records, cells, "r", "2024-01-01")
     return made.select("source_decision_id", "cell_id", F.col("chosen.s").alias("chosen"), "violation")
 
 
 @query("""SELECT concat('ev-', CAST(c.k AS VARCHAR)) AS source_decision_id, c.cell_id, c.chosen FROM cell c WHERE c.k % 11 = 3 AND c.k % 13 = 5 AND c.status IN ('missing', 'conflict')""")
 def compile_accept_row(spark, sf_dir):
     records, cells = feeds.records(spark, sf_dir), feeds.cells(spark, sf_dir)
-    made = decisions.compile_accept_row(_events(spark, records, "accept_single_source_row", ["note"]).drop("_k"), records, cells, list(ENGINES))
+    made = decisions.compile_accept_row(_events(spark, records, "accept_single_source_row", ["note"]).drop("_k"), records, cells, list(ENGINES), "r", "2024-01-01")
     return made.where("violation IS NULL").select("source_decision_id", "cell_id", F.col("chosen.s").alias("chosen"))
 
 
@@ -360,14 +329,14 @@ CASE WHEN p.k IS NULL THEN 'unknown_or_ambiguous_row' WHEN c.status IN ('unanimo
 FROM cell c JOIN val a ON a.k = c.k AND a.field = c.field AND a.engine_id = 'alpha' LEFT JOIN cell p ON p.k = c.k - 1 AND p.field = c.field AND p.k // 50 = c.k // 50 WHERE c.field = 'note'""")
 def compile_repeat_marker(spark, sf_dir):
     records, cells = feeds.records(spark, sf_dir), feeds.cells(spark, sf_dir)
-    made = decisions.compile_repeat_marker(_events(spark, records, "resolve_repeat_marker", ["note"]).drop("_k"), records, cells)
+    made = decisions.compile_repeat_marker(_events(spark, records, "resolve_repeat_marker", ["note"]).drop("_k"), records, cells, "r", "2024-01-01")
     return made.select("source_decision_id", "cell_id", "violation")
 
 
 # -- dates, quantities, prices
 
-_PARTS = """years AS (SELECT k, recorded_date AS raw, regexp_extract_all(recorded_date, '(?:^|[^0-9])([0-9]{4}|[0-9]{2})(?:[.\\-/]([0-9]{1,2}))?', 1) AS y,
- regexp_extract_all(recorded_date, '(?:^|[^0-9])([0-9]{4}|[0-9]{2})(?:[.\\-/]([0-9]{1,2}))?', 2) AS m FROM feed WHERE engine_id = 'alpha')"""
+_PARTS = """years AS (SELECT engine_id, k, recorded_date AS raw, regexp_extract_all(recorded_date, '(?:^|[^0-9])([0-9]{4}|[0-9]{2})(?:[.\\-/]([0-9]{1,2}))?', 1) AS y,
+ regexp_extract_all(recorded_date, '(?:^|[^0-9])([0-9]{4}|[0-9]{2})(?:[.\\-/]([0-9]{1,2}))?', 2) AS m FROM feed)"""
 
 
 def _years(small: str) -> str:
@@ -375,9 +344,9 @@ def _years(small: str) -> str:
 
 
 _DATES = (
-    """, """ + _PARTS + """, d AS (SELECT k, raw, list_transform(y, lambda x: {years}) AS y, list_transform(m, lambda x: CASE WHEN x = '' THEN NULL ELSE CAST(x AS INT) END) AS m FROM years),
-e AS (SELECT k, raw, y, m, len(list_filter(m, lambda x: x IS NOT NULL AND (x < 1 OR x > 12))) > 0 AS bad_month, list_has_any([y_ IS NULL FOR y_ IN y], [true]) AS bad_year, len(list_filter(m, lambda x: x IS NOT NULL)) > 0 AS has_m FROM d)
-SELECT k, nullif(raw, '') AS date_raw, CASE WHEN len(y) > 0 AND NOT bad_month AND NOT bad_year THEN printf('%04d', y[1]) || coalesce(printf('-%02d', m[1]), '') END AS date_start,
+    """, """ + _PARTS + """, d AS (SELECT engine_id, k, raw, list_transform(y, lambda x: {years}) AS y, list_transform(m, lambda x: CASE WHEN x = '' THEN NULL ELSE CAST(x AS INT) END) AS m FROM years),
+e AS (SELECT engine_id, k, raw, y, m, len(list_filter(m, lambda x: x IS NOT NULL AND (x < 1 OR x > 12))) > 0 AS bad_month, list_has_any([y_ IS NULL FOR y_ IN y], [true]) AS bad_year, len(list_filter(m, lambda x: x IS NOT NULL)) > 0 AS has_m FROM d)
+SELECT engine_id, k, nullif(raw, '') AS date_raw, CASE WHEN len(y) > 0 AND NOT bad_month AND NOT bad_year THEN printf('%04d', y[1]) || coalesce(printf('-%02d', m[1]), '') END AS date_start,
  CASE WHEN len(y) > 0 AND NOT bad_month AND NOT bad_year THEN printf('%04d', y[-1]) || coalesce(printf('-%02d', m[-1]), '') END AS date_end,
  CASE WHEN raw = '' THEN 'missing' WHEN len(y) = 0 OR bad_month OR bad_year THEN 'unresolved' WHEN len(y) = 1 THEN CASE WHEN has_m THEN 'month' ELSE 'year' END WHEN has_m THEN 'range_month' ELSE 'range_year' END AS date_precision,
  CASE WHEN raw = '' THEN NULL WHEN len(y) = 0 THEN 'no configured year pattern matched' WHEN bad_year THEN 'two-digit year requires a configured century or edition year'
@@ -386,9 +355,8 @@ SELECT k, nullif(raw, '') AS date_raw, CASE WHEN len(y) > 0 AND NOT bad_month AN
 
 
 def _date_query(spark, sf_dir, **config):
-    rows = feeds.engine_rows(spark, sf_dir).where("engine_id = 'alpha'")
     parsed = parse_date(F.col("cells")["recorded_date"]["s"], unicode_text=False, **config)
-    return rows.select(_k().alias("k"), parsed.alias("d")).select("k", "d.*")
+    return feeds.engine_rows(spark, sf_dir).select("engine_id", _k().alias("k"), parsed.alias("d")).select("engine_id", "k", "d.*")
 
 
 @query(_DATES.replace("{years}", _years(f"{CENTURY} + CAST(x AS INT)")))
@@ -416,10 +384,10 @@ def quantity_parse(spark, sf_dir):
     return c.select("c_custkey", parsed["numeric"].alias("quantity_numeric"), parsed["unparsed"].alias("quantity_text"))
 
 
-@query("""SELECT k, array_to_string(list_filter(list_transform(regexp_split_to_array(amount_text, '[()]'), lambda x: trim(x)), lambda x: x <> ''), '|') AS parts FROM feed WHERE engine_id = 'alpha'""")
+@query("""SELECT engine_id, k, array_to_string(list_filter(list_transform(regexp_split_to_array(amount_text, '[()]'), lambda x: trim(x)), lambda x: x <> ''), '|') AS parts FROM feed""")
 def price_segments(spark, sf_dir):
-    rows = feeds.engine_rows(spark, sf_dir).where("engine_id = 'alpha'")
-    return rows.select(_k().alias("k"), F.array_join(segments(F.col("cells")["amount_text"]["s"], False), "|").alias("parts"))
+    rows = feeds.engine_rows(spark, sf_dir)
+    return rows.select("engine_id", _k().alias("k"), F.array_join(segments(F.col("cells")["amount_text"]["s"], False), "|").alias("parts"))
 
 
 _PRICES = """, raw AS (SELECT b.k, i.record_id, f.amount_text AS a, b.amt, b.q FROM base b JOIN ids i ON b.k = i.k JOIN feed f ON f.k = b.k AND f.engine_id = 'alpha' WHERE f.amount_text <> ''),
@@ -436,10 +404,8 @@ _PRICE_COLUMNS = ("record_id", "price_id", "segment_index", "value_raw", "value_
 
 
 def _prices(spark, sf_dir):
-    """Prices of the records, from alpha's amounts."""
-    records = feeds.records(spark, sf_dir)
-    own = records.select("record_id", F.get(F.filter("members", lambda m: m["engine_id"] == "alpha"), F.lit(0))["norm"]["amount_text"]["value"]["s"].alias("amount"))
-    return price_rows(own, F.col("amount"), F.lit(None).cast("string"), F.col("record_id"), PRICES)
+    """Prices of the records' amounts."""
+    return enrich.prices(feeds.cells(spark, sf_dir), ROLES, PRICES)
 
 
 @query(_PRICES + f"SELECT {', '.join(_PRICE_COLUMNS)} FROM price")
@@ -447,16 +413,6 @@ def price_long(spark, sf_dir):
     return _prices(spark, sf_dir).select(*_PRICE_COLUMNS)
 
 
-@query(_PRICES + "SELECT basis, denominator_unit, conversion_role, count(*) AS n FROM price GROUP BY ALL")
-def price_basis(spark, sf_dir):
-    return _prices(spark, sf_dir).groupBy("basis", "denominator_unit", "conversion_role").agg(F.count("*").alias("n"))
-
-
-@query(_PRICES + "SELECT currency_code, scale_factor, count(*) AS n, CAST(sum(CAST(round(value_numeric * 100) AS BIGINT)) AS BIGINT) AS cents FROM price GROUP BY ALL")
-def price_scale(spark, sf_dir):
-    return _prices(spark, sf_dir).groupBy("currency_code", "scale_factor").agg(F.count("*").alias("n"), F.sum(F.round(F.col("value_numeric") * 100).cast("long")).alias("cents"))
-
-
 @query("SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS value FROM orders", feed=False)
 def numeric_text(spark, sf_dir):
     raw = F.format_number(F.col("o_totalprice").cast("decimal(18,2)"), 2)
@@ -535,22 +491,209 @@ def secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query("SELECT field, count(*) AS n FROM cell WHERE status IN ('conflict', 'missing') GROUP BY field")
-def unresolved_cells(spark, sf_dir):
-    return feeds.cells(spark, sf_dir).where(~resolved()).groupBy("field").agg(F.count("*").alias("n"))
-
-
-@query("SELECT engine_id, k, n FROM (SELECT engine_id, k, row_number() OVER (PARTITION BY engine_id ORDER BY k) AS n FROM feed) WHERE n <= 50")
-def stream_position(spark, sf_dir):
-    w = Window.partitionBy("engine_id").orderBy("pos")
-    return feeds.engine_rows(spark, sf_dir).select("engine_id", _k().alias("k"), F.row_number().over(w).cast("long").alias("n")).where("n <= 50")
-
-
 @query("SELECT engine_id, k, row_number() OVER (PARTITION BY engine_id ORDER BY k) AS n FROM feed")
-def stream_position_all(spark, sf_dir):
+def stream_position(spark, sf_dir):
     """Places within blocks of a stream, then what the blocks before hold: no stream is in one task."""
     rows = feeds.engine_rows(spark, sf_dir).select("engine_id", "pos", _k().alias("k"), F.floor(F.col("pos") / 65536).alias("block"))
     before = Window.partitionBy("engine_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = rows.groupBy("engine_id", "block").agg(F.count("*").alias("size")).select("engine_id", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
     placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("engine_id", "block").orderBy("pos")))
     return placed.join(blocks, ["engine_id", "block"]).select("engine_id", "k", (F.col("place") + F.col("before")).cast("long").alias("n"))
+
+
+# -- planted violations: every check fires
+
+
+@query("""SELECT 'duplicate_record_id' AS check_name, count(*) FILTER (k % 50 = 1) AS n FROM ids UNION ALL SELECT 'anchor_not_unique', count(*) FILTER (k % 50 = 2) FROM ids
+UNION ALL SELECT 'record_id_mismatch', count(*) FILTER (k % 50 = 3) FROM ids UNION ALL SELECT 'engine_twice', count(*) FILTER (k % 50 = 4) FROM ids
+UNION ALL SELECT 'several_physical_pages', count(*) FILTER (k % 50 = 5 AND NOT (k % 11 = 3 AND k % 13 = 5)) FROM ids UNION ALL SELECT 'several_printed_labels', count(*) FILTER (k % 50 = 6 AND NOT (k % 11 = 3 AND k % 13 = 5)) FROM ids
+UNION ALL SELECT 'page_index_missing', count(*) FROM feed WHERE k % 50 = 7
+UNION ALL SELECT 'fields_missing', count(*) FILTER (k % 50 IN (3, 8)) FROM ids UNION ALL SELECT 'fields_undeclared', count(*) FILTER (k % 50 = 9) FROM ids
+UNION ALL SELECT 'duplicate_cell_id', count(*) FILTER (k % 50 = 10) FROM ids UNION ALL SELECT 'duplicate_candidate_id', (SELECT count(*) FROM feed WHERE k % 50 = 10)
+UNION ALL SELECT 'unresolved', count(*) FILTER (status IN ('conflict', 'missing') AND NOT (k % 50 = 8 AND field = 'note')) + count(*) FILTER (status IN ('conflict', 'missing') AND k % 50 = 10 AND field = 'item_name') FROM cell""")
+def validation_checks(spark, sf_dir):
+    """Records and cells with one thing wrong in each of some places; what the checks find, counted."""
+    records, cells = feeds.records(spark, sf_dir), feeds.cells(spark, sf_dir)
+    k = F.get("members", F.lit(0))["row_index"]["s"].cast("long") % 50
+    number = lambda s: F.struct(F.lit("int").alias("t"), s.cast("string").alias("s"))
+    last = F.size("members") - 1
+    changed = F.transform(
+        "members",
+        lambda m, i: m.withField("page_index", F.when(k == 7, F.lit(None).cast("struct<t:string,s:string>")).when((k == 5) & (i == last) & (i > 0), number(F.lit(-5))).otherwise(m["page_index"]))
+        .withField("printed_page_label", F.when((k == 6) & (i <= 1), i.cast("string")).otherwise(m["printed_page_label"])),
+    )
+    names = ["record_id", "document_id", "page_id", "table_id", "ordinal", "anchor_engine_id", "members"]
+    wrong = records.withColumn("k", k).withColumn("changed", changed).select(
+        F.when(F.col("k") == 3, F.concat(F.lit("rec_x"), "record_id")).otherwise(F.col("record_id")).alias("record_id"), "document_id", "page_id", "table_id", "ordinal",
+        F.when(F.col("k") == 2, "nobody").otherwise(F.col("anchor_engine_id")).alias("anchor_engine_id"),
+        F.when(F.col("k") == 4, F.concat("changed", F.slice("changed", -1, 1))).otherwise(F.col("changed")).alias("members"), "k",
+    )
+    # the id covers the anchor's page, so those rows' ids are made again
+    from ..functions.typed import record_id
+
+    anchor = F.get(F.filter("members", lambda m: m["engine_id"] == "alpha"), F.lit(0))
+    made = record_id(F.col("document_id"), F.col("page_id"), F.col("table_id"), F.lit("alpha"), scalar_json(anchor["row_index"]), scalar_json(anchor["page_index"]))
+    again = wrong.withColumn("record_id", F.when((F.col("k") == 7) | ((F.col("k") == 5) & (F.size("members") == 1)), made).otherwise(F.col("record_id")))
+    more = again.where("k = 1").select(*names)
+    own = cells.withColumn("k", F.get("candidates", F.lit(0)).isNotNull())
+    index = records.select("record_id", k.alias("k"))
+    at = own.drop("k").join(index, "record_id")
+    renamed = at.join(again.select(F.col("document_id").alias("d"), F.col("page_id").alias("p"), F.col("ordinal").alias("o"), F.col("record_id").alias("new_id"), F.col("k").alias("nk")).where("nk = 7 OR nk = 5"),
+                      (F.col("document_id") == F.col("d")) & (F.col("page_id") == F.col("p")) & (F.col("ordinal") == F.col("o")), "left")
+    fitted = renamed.withColumn("record_id", F.coalesce("new_id", "record_id")).drop("d", "p", "o", "new_id", "nk")
+    lost = fitted.where("NOT (k = 8 AND field = 'note')")
+    extra = fitted.where("k = 9 AND field = 'note'").withColumns({"field": F.lit("other"), "cell_id": F.concat("cell_id", F.lit("-o")), "status": F.lit("unanimous"), "candidates": F.filter("candidates", lambda c: F.lit(False))})
+    twice = fitted.where("k = 10 AND field = 'item_name'")
+    found = quality.violations(again.select(*names).unionByName(more), lost.unionByName(extra).unionByName(twice).drop("k"), FIELDS, page_index_required=True)
+    return found.groupBy("check_name").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'foreign_candidate' AS violation, count(*) AS n FROM cell WHERE status = 'conflict' AND field = 'item_name' AND k % 3 = 0
+UNION ALL SELECT 'value_mismatch', count(*) FROM cell WHERE status = 'conflict' AND field = 'item_name' AND k % 3 = 1""")
+def decision_candidate_violations(spark, sf_dir):
+    """Decisions that name a candidate of another cell, and a value that isn't their candidate's."""
+    cells = feeds.cells(spark, sf_dir)
+    first = F.get("candidates", F.lit(0))
+    k = F.substring_index(F.col("page_id"), "-", -1).cast("long") * 50
+    records = feeds.records(spark, sf_dir).select("record_id", F.get("members", F.lit(0))["row_index"]["s"].cast("long").alias("k"))
+    own = cells.where("status = 'conflict' AND field = 'item_name'").join(records, "record_id")
+    nothing = F.lit(None).cast("string")
+    made = own.select(
+        "cell_id", F.when(F.col("k") % 3 == 1, F.struct(F.lit("int").alias("t"), F.lit("1").alias("s"))).otherwise(first["value"]).alias("chosen"),
+        F.when(F.col("k") % 3 == 0, F.concat(F.lit("cand_of_"), "cell_id")).otherwise(first["candidate_id"]).alias("candidate_id"), F.lit("seen").alias("reason"), F.lit("r").alias("reviewer"),
+        F.lit("2024-01-01").alias("decided_at"), nothing.alias("decision_id"), nothing.alias("source_decision_id"),
+    )
+    return review.decision_violations(made, cells).groupBy("violation").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT violation, count(*) AS n FROM (
+SELECT CASE WHEN k % 12 = 0 THEN 'not_approved' WHEN k % 12 = 1 THEN 'unknown_row' WHEN k % 12 = 2 THEN 'unknown_field' WHEN status IN ('unanimous', 'majority') THEN 'already_resolved'
+ WHEN k % 12 = 3 THEN 'no_single_candidate' WHEN k % 12 = 4 THEN 'value_mismatch' WHEN k % 12 = 5 THEN 'engines_mismatch' WHEN k % 12 = 6 THEN 'values_mismatch' WHEN k % 12 = 7 THEN 'reviewer_required'
+ WHEN k % 12 = 8 THEN 'decided_at_required' WHEN k % 12 = 9 THEN 'rationale_required' END AS violation FROM cell WHERE field = 'item_name') WHERE violation IS NOT NULL GROUP BY violation""")
+def compile_violations(spark, sf_dir):
+    """Events with one thing wrong in each, as the compiler names it."""
+    records, cells = feeds.records(spark, sf_dir), feeds.cells(spark, sf_dir)
+    events = _events(spark, records, "choose_candidate", ["item_name"])
+    k = F.col("_k") % 12
+    other = F.struct(F.lit("str").alias("t"), F.lit("never").alias("s"))
+    nothing = F.lit(None).cast("string")
+    wrong = events.withColumns(
+        {
+            "status_event": F.when(k == 0, "pending").otherwise(F.col("status_event")), "page_id": F.when(k == 1, "nowhere").otherwise(F.col("page_id")), "field": F.when(k == 2, "nothing").otherwise(F.col("field")),
+            "raw": F.when(k == 3, other).otherwise(F.col("raw")), "value": F.when(k == 4, other).otherwise(F.col("value")), "engine_ids": F.when(k == 5, F.array(F.lit("alpha"), F.lit("delta"))).otherwise(F.col("engine_ids")),
+            "raw_values": F.when(k == 6, F.array(F.lit('"never"'))).otherwise(F.col("raw_values")), "reviewer": F.when(k != 7, "r").otherwise(nothing), "decided_at": F.when(k != 8, "now").otherwise(nothing),
+            "rationale": F.when(k == 9, " ").otherwise(F.col("rationale")),
+        }
+    )
+    made = decisions.compile_choose(wrong.drop("_k"), records, cells)
+    return made.where("violation IS NOT NULL").groupBy("violation").agg(F.count("*").alias("n"))
+
+
+# -- scalars and JSON
+
+
+@query("""SELECT concat('{"o_custkey":', o_custkey, ',"o_orderdate":"', CAST(o_orderdate AS VARCHAR), '","o_orderkey":', o_orderkey, ',"o_orderpriority":"', o_orderpriority, '","o_orderstatus":"', o_orderstatus,
+'","o_totalprice":', CAST(o_totalprice AS VARCHAR), '}') AS value FROM orders""", feed=False)
+def canonical_jsonl_rows(spark, sf_dir):
+    names = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return sinks.json_lines(table(spark, sf_dir, "orders").select(*names))
+
+
+@query(f"SELECT conv_id, turn, nullif(regexp_replace(text, '^{_BLANK}|{_BLANK}$', '', 'g'), '') AS value FROM conversations", feed=False)
+def scalar_text(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return rows.select("conv_id", "turn", enrich.scalar_text(F.struct(F.lit("str").alias("t"), F.col("text").alias("s"))).alias("value"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber IN (1, 7) THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS line, CASE WHEN l_quantity IN (1, 7) THEN NULL ELSE CAST(CAST(l_quantity AS DECIMAL(18, 1)) AS VARCHAR) END AS quantity,
+CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_returnflag END AS flag, CASE WHEN l_linestatus <> 'F' THEN 'false' END AS open FROM lineitem""", feed=False)
+def missing_sentinel_typed(spark, sf_dir):
+    """Sentinels of all types: 1 (and so 1.0 and true), 7.0 (and so 7) and a text."""
+    rule = Rule(transforms=(), missing=(1, 7.0, "R"))
+    of = lambda kind, text: rule.apply(F.struct(F.lit(kind).alias("t"), text.cast("string").alias("s")))["s"]
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.select(
+        "l_orderkey", "l_linenumber", of("int", F.col("l_linenumber")).alias("line"), of("float", F.col("l_quantity").cast("decimal(18,1)")).alias("quantity"), of("str", F.col("l_returnflag")).alias("flag"),
+        of("bool", F.col("l_linestatus") == "F").alias("open"),
+    )
+
+
+_WIDE_DIGITS = "０１２３４５６７８９"
+
+
+@query("SELECT o_orderkey, substr(CAST(o_orderdate AS VARCHAR), 1, 7) AS date_start, 'month' AS date_precision FROM orders", feed=False)
+def date_unicode(spark, sf_dir):
+    """Dates in full-width digits, by way of compatibility folding."""
+    wide = F.translate(F.substring(F.col("o_orderdate").cast("string"), 1, 7), "0123456789", _WIDE_DIGITS)
+    return table(spark, sf_dir, "orders").select("o_orderkey", parse_date(wide).alias("d")).select("o_orderkey", "d.date_start", "d.date_precision")
+
+
+# -- artifacts: what is written is read back
+
+
+@query("SELECT engine_id, CAST(k AS VARCHAR) AS row_index, item_name, quantity, quantity_t AS quantity_type, amount_text, note FROM feed")
+def read_back_rows(spark, sf_dir):
+    """The feed as JSON lines of three files, read as engines' rows: lines, aliases, typed scalars."""
+    rows = feeds.engine_rows(spark, sf_dir).drop("row_uid", "pos").withColumnsRenamed({"engine_id": "engine", "row_index": "source_row", "page_index": "source_pdf_page_index"})
+    paths = []
+    for e in ENGINES:
+        paths.append(new_path(spark, f"rows-{e}"))
+        sinks.write_jsonl(rows.where(F.col("engine") == e), paths[-1], ["page_id", "source_row"])
+    read = jsonl.read_rows(spark, paths).where("problem IS NULL")
+    cell = F.col("cells")
+    return read.select(
+        "engine_id", F.col("row_index.s").alias("row_index"), cell["item_name"]["s"].alias("item_name"), cell["quantity"]["s"].alias("quantity"), cell["quantity"]["t"].alias("quantity_type"), cell["amount_text"]["s"].alias("amount_text"),
+        cell["note"]["s"].alias("note"),
+    )
+
+
+@query("""SELECT c.record_id, c.cell_id, c.field, c.status, c.chosen_t, c.chosen, concat_ws(',', CASE WHEN c.k % 11 = 3 THEN 'beta' END, CASE WHEN c.k % 13 = 5 THEN 'gamma' END) AS missing,
+CAST(1 + CASE WHEN c.k % 11 <> 3 THEN 1 ELSE 0 END + CASE WHEN c.k % 13 <> 5 THEN 1 ELSE 0 END AS INT) AS n_candidates FROM cell c""")
+def consensus_reload(spark, sf_dir):
+    """Consensus as JSON lines, and read back."""
+    records, cells = materialize(feeds.records(spark, sf_dir), "records"), materialize(feeds.cells(spark, sf_dir), "cells")
+    path = new_path(spark, "consensus")
+    artifacts.consensus_lines(records, cells, list(ENGINES)).write.text(path)
+    _, again = artifacts.load_consensus(spark, path)
+    return again.select(
+        "record_id", "cell_id", "field", "status", F.col("chosen.t").alias("chosen_t"), F.col("chosen.s").alias("chosen"), F.array_join("missing_engine_ids", ",").alias("missing"),
+        F.size("candidates").alias("n_candidates"),
+    )
+
+
+@query("""SELECT c.cell_id, a.s AS chosen, 'seen' AS reason, 'r' AS reviewer, '2024-01-01' AS decided_at FROM cell c JOIN val a ON a.k = c.k AND a.field = c.field AND a.engine_id = 'alpha'
+WHERE c.status = 'conflict' AND c.field = 'item_name'""")
+def decisions_reload(spark, sf_dir):
+    """Decisions as JSON lines, and read back."""
+    path = new_path(spark, "decisions")
+    artifacts.decision_lines(_decisions(feeds.cells(spark, sf_dir))).write.text(path)
+    return artifacts.read_decisions(spark, path).select("cell_id", F.col("chosen.s").alias("chosen"), "reason", "reviewer", "decided_at")
+
+
+_ANSWER = {"profile_version": "1", "name": "n", "record_type": "r", "fields": [{"name": "name"}, {"name": "segment"}, {"name": "balance"}]}
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(0 AS BIGINT) END AS row_index, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE 'main' END AS table_id,
+CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS name, CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS segment, c_custkey % 10 = 0 AS refused FROM customer""", feed=False)
+def transcription_rows(spark, sf_dir):
+    """Answers of a transcriber, some fenced and some with fields that are not declared, as rows."""
+    c = table(spark, sf_dir, "customer")
+    cells = F.concat(F.lit('{"name":"'), F.col("c_name"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.concat(F.lit('","segment":"'), F.col("c_mktsegment"))), F.when(F.col("c_custkey") % 10 == 0, '","other":"x').otherwise(""), F.lit('"}'))
+    text = F.concat(F.lit('{"rows":[{"cells":'), cells, F.lit("}]}"))
+    fenced = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("```json\n"), text, F.lit("\n```"))).otherwise(text)
+    rows = transcription.response_rows(c.select("c_custkey", fenced.alias("text")), parse_profile(_ANSWER), "c_custkey")
+    return rows.select("key", "row_index", "table_id", F.col("cells")["name"]["s"].alias("name"), F.col("cells")["segment"]["s"].alias("segment"), F.col("problem").isNotNull().alias("refused"))
+
+
+@query(_PRICES + """SELECT c.record_id, CASE WHEN bool_or(c.status IN ('conflict', 'missing')) THEN 'unresolved' WHEN bool_and(c.status = 'unanimous') THEN 'unanimous' ELSE 'majority' END AS record_status,
+max(concat('{"cell_id":"', c.cell_id, '","raw":{', r.raw, '},"status":"', c.status, '","std":', CASE WHEN c.chosen IS NULL THEN 'null' ELSE concat('"', c.chosen, '"') END, '}')) FILTER (c.field = 'item_name') AS item,
+max(concat('{"cell_id":"', c.cell_id, '","raw":{', r.raw, '},"status":"', c.status, '","std":', coalesce(c.chosen, 'null'), '}')) FILTER (c.field = 'quantity') AS quantity,
+max(coalesce(p.ids, '[]')) AS price_ids FROM cell c
+JOIN (SELECT k, field, string_agg(concat('"', engine_id, '":', CASE WHEN t = 'str' THEN concat('"', raw, '"') ELSE raw END), ',' ORDER BY engine_id) AS raw FROM val GROUP BY k, field) r ON r.k = c.k AND r.field = c.field
+LEFT JOIN (SELECT record_id, concat('["', string_agg(price_id, '","' ORDER BY segment_index), '"]') AS ids FROM price GROUP BY record_id) p ON p.record_id = c.record_id GROUP BY c.record_id""")
+def research_records(spark, sf_dir):
+    """Research views: the JSON of some fields, and the ids of prices in the amount's."""
+    records, cells = feeds.records(spark, sf_dir), feeds.cells(spark, sf_dir)
+    views = enrich.research_views(cells, records, FIELDS, ROLES, enrich.prices(cells, ROLES, PRICES), century=CENTURY)
+    one = lambda f: F.col("fields")[f]["json"]
+    return views.select("record_id", "record_status", one("item_name").alias("item"), one("quantity").alias("quantity"), F.get_json_object(one("amount_text"), "$.std").alias("price_ids"))

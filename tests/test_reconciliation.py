@@ -198,15 +198,15 @@ def test_query_matches_sql(spark, data, name):
     assert sorted((tuple(plain(r[n]) for n in names) for r in df.collect()), key=repr) == want
 
 
-@pytest.mark.parametrize("name", ("alias_collisions_all", "event_locator_all", "stream_position_all", "natural_section_rank"))
+@pytest.mark.parametrize("name", ("alias_collisions", "event_locator", "stream_position", "natural_section_order"))
 def test_whole_query_matches_sql(spark, data, name):
-    """All of the feed, not the part that the query of the shorter name returns."""
+    """All of the feed."""
     test_query_matches_sql(spark, data, name)
     from tallyframe.plans import feeds
     from tallyframe.plans.queries import QUERIES
 
     rows = feeds.engine_rows(spark, data)
-    whole = {"event_locator_all": rows.where("engine_id = 'alpha'").count() + 1, "natural_section_rank": rows.select("page_id").distinct().count()}
+    whole = {"event_locator": rows.where("engine_id = 'alpha'").count() + 1, "natural_section_order": rows.select("page_id").distinct().count()}
     assert QUERIES[name](spark, data).count() == whole.get(name, rows.count())
 
 
@@ -221,9 +221,9 @@ def test_whitespace_of_all_conversations(spark, data, tmp_path):
     table = spark.read.parquet(f"{data}/conversations.parquet")
     both = table.select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame(odd, "conv_id long, turn long, role string, text string"))
     both.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
-    rows = {(r.conv_id, r.turn, r.collapsed, r.removed) for r in QUERIES["normalize_whitespace_all"](spark, str(tmp_path)).collect()}
+    rows = {(r.conv_id, r.turn, r.collapsed, r.removed) for r in QUERIES["normalize_whitespace"](spark, str(tmp_path)).collect()}
     want = {(r.conv_id, r.turn, r.text and " ".join(r.text.split()), r.text and "".join(r.text.split())) for r in both.collect()}
     assert rows == want
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
-    assert set(con.execute(SQL["normalize_whitespace_all"]).fetchall()) == want
+    assert set(con.execute(SQL["normalize_whitespace"]).fetchall()) == want
