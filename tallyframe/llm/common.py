@@ -2,57 +2,20 @@
 
 from __future__ import annotations
 
-import re
-import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..sources.work import discard, materialize, new_path, shared_dir  # noqa: F401
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Reads ``<sf_dir>/<table>.parquet``, a file or a folder, in any store that Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset in local mode, as in tests, a folder below the SQL warehouse takes its place; on a cluster it has to
-    be set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: lineage ends there, so lost executors cost nothing upstream."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_to = path
-    return out
-
-
-def discard(table: DataFrame) -> None:
-    """Deletes a table that materialize wrote and nothing will read again."""
-    spark = table.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def column(df: DataFrame, name: str):
     """The column of that very name, dots and all."""
     return df["`" + name.replace("`", "``") + "`"]
