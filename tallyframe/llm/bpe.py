@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from xxhash import xxh3_128_intdigest
 
 from .common import id_text, load, settle, utf8
-from .units import REMEMBER, Memo, encode_texts, held, new_key, slices
+from .units import REMEMBER, Carried, Memo, encode_texts, held, new_key, slices
 
 #: Bytes of a rank file that may travel with the tasks.
 MAX_RANK_FILE = 64 << 20
@@ -204,9 +204,10 @@ def encoder(path: str, pattern: str) -> BytePairEncoder:
 
 def encode_documents(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids)."""
+    carried = Carried(bpe)
 
     def run(batches):
-        own = held(bpe)
+        own = held(carried)
         for batch in batches:
             for a, n in slices(batch.column(1)):
                 ids, ends = own.encode_arrow(batch.column(1).slice(a, n))
@@ -219,9 +220,10 @@ def encode_documents(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_i
 
 def decode_documents(encoded: DataFrame, bpe: BytePairEncoder) -> DataFrame:
     """(doc_id, content) of (doc_id, ids); content is bytes, as ids may end within a character."""
+    carried = Carried(bpe)
 
     def run(batches):
-        own = held(bpe)
+        own = held(carried)
         for batch in batches:
             got = [own.decode(ids or ()) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], ["doc_id", "content"])
@@ -231,9 +233,10 @@ def decode_documents(encoded: DataFrame, bpe: BytePairEncoder) -> DataFrame:
 
 def encoding_report(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Number of ids, digest of the ids and digest of the bytes that the ids decode to, in one scan."""
+    carried = Carried(bpe)
 
     def run(batches):
-        own = held(bpe)
+        own = held(carried)
         for batch in batches:
             for a, rows in slices(batch.column(1)):
                 flat, ends = own.encode_arrow(batch.column(1).slice(a, rows))

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, id_text, load, utf8
-from .units import held, new_key
+from .common import column, id_text, load, settle, utf8
+from .units import Carried, held, new_key, slices
 
 #: Bytes of patterns in one automaton. A benchmark beyond that is scanned for by several.
 BLOCK_BYTES = 4_000_000
@@ -109,15 +109,23 @@ def matchers(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return [Matcher({key: (k, tuple(sorted(ids))) for key, (k, ids) in b.items()}) for b in blocks]
 
 
+class Matchers:
+    """All automata of a benchmark."""
+
+    def __init__(self, every: list[Matcher]):
+        self.all, self.key = every, new_key()
+
+
 def _scanner(matchers: list[Matcher]):
+    carried = Carried(Matchers(matchers))
     kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("first_word", "last_word", "byte_start", "byte_end", "char_start", "char_end")]))
     names = [f.name for f in kind.value_type]
 
     def scan(batches):
-        own = [held(m) for m in matchers] if len(matchers) == 1 else matchers
+        own = held(carried).all
         for batch in batches:
             out = []
-            for t in batch.column(1).to_pylist():
+            for t in (t for a, n in slices(batch.column(1)) for t in batch.column(1).slice(a, n).to_pylist()):
                 found = [m.scan(t) for m in own]
                 out.append((found[0][0], sorted({i for f in found for i in f[1]}), [r for f in found for r in f[2]]))
             yield pa.RecordBatch.from_arrays(
@@ -129,6 +137,7 @@ def _scanner(matchers: list[Matcher]):
                 ],
                 ["doc_id", "n_words", "items", "hits"],
             )
+        settle()
 
     return scan
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import column, fold_column, id_text, load, settle
-from .units import held, new_key, slices
+from .units import Carried, held, new_key, slices
 
 SAMPLE_DOCS, SAMPLE_LETTERS, LEAST_BYTES, MAX_LANGUAGES = 256, 120_000, 100, 500
 _LETTER = "\\p{L}"
@@ -245,9 +245,10 @@ def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str =
 
 def predict_language(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, bits): bits a letter tells text of none of the languages from theirs."""
+    carried = Carried(parser)
 
     def run(batches):
-        own = held(parser)
+        own = held(carried)
         for batch in batches:
             names, scores, bits = [], [], []
             texts = []

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import column, fold_column, id_text, load, settle, utf8
-from .units import Memo, held, new_key, slices
+from .units import Carried, Memo, held, new_key, slices
 
 BITS, MAX_ROWS, MAX_BYTES, EPOCHS = 18, 4000, 16 << 20, 3
 _TOKEN = re.compile(rb"[A-Za-z0-9_\x80-\xff]+|[^A-Za-z0-9_\x80-\xff\s]+")
@@ -161,9 +161,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted, max_
 
 def score_documents(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score)."""
+    carried = Carried(model)
 
     def run(batches):
-        own = held(model)
+        own = held(carried)
         for batch in batches:
             scores = [own.score(t) for a, n in slices(batch.column(1)) for t in batch.column(1).slice(a, n).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import id_text, load, new_path, settle
 from .pfor import read_segment, write_segment
-from .units import REMEMBER, Memo, encode_texts, held, new_key, slices
+from .units import REMEMBER, Carried, Memo, encode_texts, held, new_key, slices
 
 SEGMENT_IDS = 1 << 17
 #: Bytes of a tokenizer's file that may travel with the tasks.
@@ -109,11 +109,12 @@ def part_of(cuts: np.ndarray, ids: np.ndarray, tie: np.ndarray) -> np.ndarray:
 
 def write_token_files(docs: DataFrame, encoder: LibraryEncoder, path: str, id_col: str = "doc_id", text_col: str = "text", segment_ids: int = SEGMENT_IDS, parts: int | None = None) -> None:
     """Writes (part, segment, n_ids, payload) to path."""
+    carried = Carried(encoder)
 
     def encode(batches):
         from xxhash import xxh3_64_intdigest
 
-        own = held(encoder)
+        own = held(carried)
         for batch in batches:
             for a, n in slices(batch.column(1)):
                 ids = batch.column(0).slice(a, n).fill_null(NULL_ID)

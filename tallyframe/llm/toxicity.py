@@ -17,7 +17,8 @@ clean rows are clean; of a toxic row's, those are toxic that the machine itself
 their values over 0, and of its number of sentences.
 
 Training reads at most ``MAX_TOXIC`` and ``MAX_CLEAN`` rows of either label, chosen by hash of the id, and of these whole
-texts up to ``MAX_BYTES`` in all; these are parameters. Scoring reads whole texts.
+texts up to ``MAX_BYTES`` in all; of clean sentences, the ``CLEAN_SENTENCES`` train that are most like landmarks. These are
+parameters. Scoring reads whole texts.
 
 Defined results: null and empty texts and texts without letters have one sentence without units; very long texts are scored
 whole, in bounded slices; repeated rows are scored each; with no toxic or no clean labels all scores are 0; an empty table
@@ -34,9 +35,9 @@ from pyspark.sql import functions as F
 
 from .common import fold_column, id_text, load, settle
 from .quality import labelled_sample
-from .units import Memo, as_bytes, held, new_key, slices
+from .units import Carried, Memo, as_bytes, held, new_key, slices
 
-MAX_TOXIC, MAX_CLEAN, MAX_BYTES, LANDMARKS, ROUNDS, VARIED = 1200, 4800, 24 << 20, 160, 4, 0.5
+MAX_TOXIC, MAX_CLEAN, MAX_BYTES, LANDMARKS, ROUNDS, VARIED, CLEAN_SENTENCES = 1200, 4800, 12 << 20, 160, 4, 0.5, 30_000
 DECAY, SPAN, LONGEST, ALPHABET, POWER, FAINT = 0.9, 7, 20, 64, 3, 0.12
 _TRIPLES = np.array([(i, j, k) for i in range(LONGEST) for j in range(i + 1, min(i + SPAN, LONGEST)) for k in range(j + 1, min(i + SPAN, LONGEST))])
 _TRIPLES = _TRIPLES[np.argsort(_TRIPLES[:, 2], kind="stable")]  # a unit of n characters has a prefix of these
@@ -75,7 +76,7 @@ class Pieces:
         low = pc.utf8_lower(pc.fill_null(texts, ""))
         if low.offset:
             low = pa.concat_arrays([low])
-        n = len(low)
+        n = self.n = len(low)
         self.ends = np.frombuffer(low.buffers()[1], np.int32, n + 1) if n else np.zeros(1, np.int32)
         self.raw = raw = np.frombuffer(low.buffers()[2], np.uint8)[: self.ends[-1]] if low.buffers()[2] is not None else np.zeros(0, np.uint8)
         black = ~_WHITE[raw]
@@ -100,7 +101,7 @@ class Pieces:
         self.text_of = np.concatenate([text[over], bare])
         self.sentence = sentence
         size = self.stop - self.start
-        letters = np.cumsum(np.concatenate(([0], (raw & 0xC0) != 0x80)))
+        letters = np.cumsum(np.concatenate(([0], (raw & 0xC0) != 0x80)), dtype=np.int32)
         short = letters[self.stop] - letters[self.start] <= 2
         buffer = pa.py_buffer(raw)
         # pieces with what stands behind them, as the offsets of one column
@@ -139,6 +140,25 @@ class Pieces:
         return found + [b""] * (len(self.text_of) - len(found))
 
 
+class Gathered:
+    """Pieces of many texts, made of a slice at a time: units, which of them each place has, sentences and their digests."""
+
+    def __init__(self, texts: list[bytes]):
+        known: dict[bytes, int] = {}
+        which, sentence, text_of, digest, n, at = [], [], [], [], 0, 0
+        column = pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string())
+        for a, k in slices(column):
+            own = Pieces(column.slice(a, k))
+            number = np.array([known.setdefault(u, len(known)) for u in own.units], np.int32)
+            which.append(number[own.which])
+            sentence.append((own.unit_sentence + n).astype(np.int32))
+            text_of.append((own.text_of + at).astype(np.int32))
+            digest.append(np.array([hash(t) for t in own.sentences()], np.int64))
+            n, at = n + len(own.text_of), at + k
+        self.units, self.n = list(known), at
+        self.which, self.unit_sentence, self.text_of, self.digest = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (which, sentence, text_of, digest))
+
+
 class Subsequences:
     """Explicit features of the kernel: codes of three letters, and decayed spans."""
 
@@ -198,16 +218,22 @@ class Subsequences:
         return out**POWER
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-5, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss; y is -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(x.shape[1]) * weight.sum()
+def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-5, rounds: int = 30, block: int = 4096) -> tuple[np.ndarray, float]:
+    """Linear SVM with squared hinge loss; y is -1 or 1. Rows add up to the normal equations a block at a time."""
+    size = x.shape[1] + 1
+    w = np.zeros(size)
+    penalty = ridge * np.eye(size) * weight.sum()
     penalty[-1, -1] *= 1e-3
     for _ in range(rounds):
-        active = y * (x @ w) < 1
-        a, b = x[active], weight[active]
-        new = np.linalg.solve(a.T @ (a * b[:, None]) + penalty, a.T @ (b * y[active]))
+        gram, right = penalty.copy(), np.zeros(size)
+        for at in range(0, len(x), block):
+            own = np.hstack([x[at : at + block].astype(np.float64), np.ones((len(x[at : at + block]), 1))])
+            label = y[at : at + block]
+            active = label * (own @ w) < 1
+            a, b = own[active], weight[at : at + block][active]
+            gram += a.T @ (a * b[:, None])
+            right += a.T @ (b * label[active])
+        new = np.linalg.solve(gram, right)
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -240,9 +266,14 @@ class ToxicityModel:
 
     def kernels(self, pieces: list[bytes]) -> list[bytes]:
         """Each piece's kernels with the landmarks that are not faint, as packed entries."""
-        names = [unit_of(p.decode("utf-8", "replace")) for p in pieces]
-        parts = sorted(((i, q) for i, u in enumerate(names) if u for q in parts_of(u)), key=lambda x: len(x[1]))  # alike lengths together
         out = [b""] * len(pieces)
+        for low in range(0, len(pieces), 1 << 16):
+            self._kernels(pieces, out, low, low + (1 << 16))
+        return out
+
+    def _kernels(self, pieces: list[bytes], out: list[bytes], low: int, high: int) -> None:
+        found = ((i, unit_of(pieces[i].decode("utf-8", "replace"))) for i in range(low, min(high, len(pieces))))
+        parts = sorted(((i, q) for i, u in found if u for q in parts_of(u)), key=lambda x: len(x[1]))  # alike lengths together
         for a in range(0, len(parts), 4096):
             some = parts[a : a + 4096]
             got = self.space.kernel([q for _, q in some], self.marks)
@@ -253,9 +284,8 @@ class ToxicityModel:
             for (i, _), x, y in zip(some, cuts, cuts[1:]):
                 if y > x:
                     out[i] += entries[x:y].tobytes()
-        return out
 
-    def table(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    def table(self, pieces: Pieces | Gathered, kind=np.float32) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the sentences that have kernels, their largest kernel with each landmark)."""
         if self._memo is None:
             self._memo = Memo(self.kernels)
@@ -263,15 +293,18 @@ class ToxicityModel:
         size = np.fromiter(map(len, values), np.int64, len(values)) // _ENTRY.itemsize
         at = np.flatnonzero(size[pieces.which] > 0)
         if not len(at):
-            return np.zeros(0, np.int64), np.zeros((0, self.marks[1].shape[1]), np.float32)
+            return np.zeros(0, np.int64), np.zeros((0, self.marks[1].shape[1]), kind)
         unit, of = pieces.which[at], pieces.unit_sentence[at]
         flat = np.frombuffer(b"".join(values), _ENTRY)
-        begin, count = (np.cumsum(size) - size)[unit], size[unit]
-        stop = np.cumsum(count)
-        entry = flat[np.repeat(begin - (stop - count), count) + np.arange(stop[-1])]
+        begin = np.cumsum(size) - size
         own, row = np.unique(of, return_inverse=True)
-        out = np.zeros((len(own), self.marks[1].shape[1]), np.float32)
-        np.maximum.at(out, (np.repeat(row, count), entry["mark"].astype(np.int64)), entry["value"].astype(np.float32))
+        out = np.zeros((len(own), self.marks[1].shape[1]), kind)
+        for a in range(0, len(unit), 1 << 18):
+            some, at_row = unit[a : a + (1 << 18)], row[a : a + (1 << 18)]
+            count = size[some]
+            stop = np.cumsum(count)
+            entry = flat[np.repeat(begin[some] - (stop - count), count) + np.arange(stop[-1])]
+            np.maximum.at(out, (np.repeat(at_row, count), entry["mark"].astype(np.int64)), entry["value"].astype(kind))
         return own, out
 
     def fit(self, rows: list[tuple[bytes, int]], landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 11) -> ToxicityModel:
@@ -279,21 +312,22 @@ class ToxicityModel:
         y = np.array([label for _, label in rows], np.int64)
         if not len(y) or y.min() == y.max():
             return self
-        pieces = Pieces(pa.array([raw.decode("utf-8", "ignore") for raw, _ in rows], pa.string()))
-        text = pieces.sentences()
+        pieces = Gathered([raw for raw, _ in rows])
         # equal sentences of a label count once, so that copies of a text are no evidence of their own
         label = y[pieces.text_of]
-        seen: set[tuple[bytes, int]] = set()
-        once = np.array([(t, int(k)) not in seen and not seen.add((t, int(k))) for t, k in zip(text, label)], bool)
+        once = np.zeros(len(label), bool)
+        once[np.unique(np.stack([pieces.digest, label]), axis=1, return_index=True)[1]] = True
         names = [unit_of(u.decode("utf-8", "replace")) for u in pieces.units]
         different = {u: i for i, u in enumerate(sorted({u for u in names if u and len(u) <= LONGEST}))}
-        number = np.array([different.get(u, -1) for u in names], np.int64)
+        number = np.array([different.get(u, -1) for u in names], np.int32)
         if not different:
             return self
         of = number[pieces.which]
         use = (of >= 0) & once[pieces.unit_sentence]
-        pairs = np.unique(np.stack([of[use], pieces.unit_sentence[use]]), axis=1)
+        pairs = np.unique(of[use].astype(np.int64) * len(label) + pieces.unit_sentence[use])
+        pairs = np.stack(np.divmod(pairs, len(label)))
         counts = [np.bincount(pairs[0][label[pairs[1]] == k], minlength=len(different)) for k in (0, 1)]
+        del of, use, pairs
         total = [max(1, int((label[once] == k).sum())) for k in (0, 1)]
         units = np.array(list(different), object)
         expected = (counts[0] + 0.5) / total[0] * total[1]
@@ -315,16 +349,22 @@ class ToxicityModel:
         value, vector = np.linalg.eigh((own + own.T) / 2)
         root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
         self._memo = None
-        who, table = self.table(pieces)
-        keep = once[who]
-        x, bag, at_ = table[keep], pieces.text_of[who[keep]], label[who[keep]]
-        blank = int((label[once] == 0).sum() - (at_ == 0).sum())  # clean sentences that are like no landmark
+        del names, units, clean, near
+        who, table = self.table(pieces, np.float16)  # as exact as entries are
+        self._memo = None
+        keep = np.flatnonzero(once[who])
+        clean_at = keep[label[who[keep]] == 0]
+        likest = np.argsort(-table[clean_at].max(axis=1), kind="stable")[:CLEAN_SENTENCES] if len(clean_at) else clean_at
+        keep = np.sort(np.concatenate([keep[label[who[keep]] == 1], clean_at[likest]]))
+        x, bag, at_ = table[keep].astype(np.float32), pieces.text_of[who[keep]], label[who[keep]]
+        blank = int((label[once] == 0).sum() - (at_ == 0).sum())  # clean sentences that are like no landmark, or hardly
         # first guess: a toxic row's sentences that are most like the units that tell toxic sentences
         told = np.isin(marks, bad)
         score = x[:, told].max(axis=1) if told.any() else np.zeros(len(x))
-        limit, features = 0.6, x @ root
+        limit, features = 0.6, x @ root.astype(np.float32)
         more, share = self._inserted({u: int(counts[1][different[u]]) for u in bad}, seed)
-        more_x = more @ root
+        del different, counts
+        more_x = more @ root.astype(np.float32)
         for _ in range(rounds):
             best = np.full(len(y), -np.inf)
             np.maximum.at(best, bag, score)
@@ -349,9 +389,10 @@ class ToxicityModel:
         """The first units no two of which have a kernel over ``alike``."""
         if not units:
             return []
-        table = self.space.kernel(units, self.space.landmarks(units[: 4 * most]))
+        units = units[: 4 * most]
+        table = self.space.kernel(units, self.space.landmarks(units))
         out: list[int] = []
-        for i in range(min(len(units), 4 * most)):
+        for i in range(len(units)):
             if len(out) < most and not (table[i, out] > alike).any():
                 out.append(i)
         return [units[i] for i in out]
@@ -375,8 +416,8 @@ class ToxicityModel:
 
     def _summary(self, pieces: Pieces, who: np.ndarray, table: np.ndarray) -> np.ndarray:
         """What a text's score is made of: its three worst sentences, the sum of what is beyond the margin, its length."""
-        n = len(pieces.ends) - 1
-        value = table.astype(np.float64) @ self.beta + self.bias
+        n = pieces.n
+        value = np.concatenate([np.zeros(0), *(table[a : a + 20_000].astype(np.float64) @ self.beta for a in range(0, len(table), 20_000))]) + self.bias
         number = np.bincount(pieces.text_of, minlength=n)
         top = np.full((n, 3), self.bias)
         over = np.zeros(n)
@@ -416,9 +457,10 @@ class ToxicityModel:
 
 def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score)."""
+    carried = Carried(model)
 
     def run(batches):
-        own = held(model)
+        own = held(carried)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.scores(batch.column(1)))], ["doc_id", "score"])
         settle()

@@ -53,20 +53,38 @@ def cut_pieces(texts: pa.StringArray) -> tuple[pa.BinaryArray, np.ndarray]:
 _HELD: dict[str, object] = {}
 
 
-def held(model):
-    """The first copy of this model that arrived in this Python worker, so that tasks share what it remembers.
+class Carried:
+    """A model on its way to Python workers, compressed. A worker unpacks it only where it doesn't hold it yet."""
 
-    A model has a key that is made with it and travels with it. Only the last one asked for is held, so that a worker that
-    goes from one job to another has room.
+    def __init__(self, model):
+        import pickle
+
+        import zstandard
+
+        self.key, self.data = model.key, zstandard.ZstdCompressor(level=1).compress(pickle.dumps(model, protocol=5))
+
+
+def held(carried: Carried):
+    """The model that this Python worker holds, so that its tasks share what it remembers.
+
+    A model has a key that is made with it and travels with it. Only one is held, and the one before goes first, so that a
+    worker that goes from one job to another has room.
     """
-    if model.key not in _HELD:
+    if carried.key not in _HELD:
+        import pickle
+
+        import zstandard
+
+        from .common import settle
+
         _HELD.clear()
-        _HELD[model.key] = model
-    return _HELD[model.key]
+        settle()
+        _HELD[carried.key] = pickle.loads(zstandard.ZstdDecompressor().decompress(carried.data))
+    return _HELD[carried.key]
 
 
-#: Pieces in a generation of a memo: two generations take some 180 MB at most.
-REMEMBER = 500_000
+#: Pieces in a generation of a memo: two generations take some 130 MB at most.
+REMEMBER = 350_000
 
 
 def new_key() -> str:
