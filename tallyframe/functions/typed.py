@@ -48,7 +48,10 @@ def number_json(number: Column) -> Column:
 
 
 def double_text(number: Column) -> Column:
-    """A finite double as Python and JSON write it: an exponent only below 1e-4 and from 1e16 on. Others are refused."""
+    """A finite double as Python and JSON write it: an exponent only below 1e-4 and from 1e16 on. Others are refused.
+
+    Digits are the JVM's, which before Java 19 are more than are needed for a few numbers; they read back as the same double.
+    """
     text = number.cast("double").cast("string")
     sign = F.when(text.startswith("-"), "-").otherwise("")
     digits = F.regexp_replace(F.substring_index(text, "E", 1), "^-|\\.0$|\\.", "")
