@@ -22,7 +22,7 @@ PATTERNS = {
 def scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, finding): a row for each pattern that a text matches."""
     found = F.filter(F.array(*[F.when(F.col(text_col).rlike(p), F.lit(name)) for name, p in PATTERNS.items()]), lambda x: x.isNotNull())
-    return df.select(F.col(id_col), F.explode(found).alias("finding"))
+    return df.select(F.col(id_col), F.explode_outer(found).alias("finding")).where("finding IS NOT NULL")
 
 
 # Files that are not text, folders that are not looked into, and the size that a file may have.

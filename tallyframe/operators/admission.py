@@ -30,7 +30,7 @@ def row_violations(rows: DataFrame, fields: Sequence[str], page_index_required:
     if page_index_required:
         rules["page_index_required"] = page.isNull()
     found = F.filter(F.array(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in rules.items()]), lambda x: x.isNotNull())
-    return rows.select("row_uid", F.explode(found).alias("violation"))
+    return rows.select("row_uid", F.explode_outer(found).alias("violation")).where("violation IS NOT NULL")
 
 
 def duplicate_identities(rows: DataFrame) -> DataFrame:

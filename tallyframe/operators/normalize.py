@@ -100,7 +100,7 @@ def collisions(rows: DataFrame, source_fields: Sequence[str], config: Normalizat
             out.append(F.when(n > 1, F.struct(F.lit(name).alias("field"), n.alias("n"))))
     if not out:
         return rows.select("row_uid", F.lit("").alias("field"), F.lit(0).alias("n")).limit(0)
-    return rows.select("row_uid", F.explode(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("c")).select("row_uid", "c.field", "c.n")
+    return rows.select("row_uid", F.explode_outer(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("c")).where("c IS NOT NULL").select("row_uid", "c.field", "c.n")
 
 
 def check_collisions(rows: DataFrame, source_fields: Sequence[str], config: Normalization) -> None:
@@ -111,4 +111,12 @@ def check_collisions(rows: DataFrame, source_fields: Sequence[str], config: Norm
 
 def observations(rows: DataFrame) -> DataFrame:
     """Long form of normalised rows: (row_uid, engine_id, field, source_field, raw, value)."""
-    return rows.select("row_uid", "engine_id", F.explode("norm").alias("field", "c")).select("row_uid", "engine_id", "field", F.col("c.source").alias("source_field"), "c.raw", "c.value")
+    return exploded(rows, "row_uid", "engine_id").select("row_uid", "engine_id", "field", F.col("c.source").alias("source_field"), "c.raw", "c.value")
+
+
+def exploded(rows: DataFrame, *keep: str | Column) -> DataFrame:
+    """The columns to keep, field and c, which is STRUCT<source, raw, value>: a row for each field of normalised rows.
+
+    An outer explosion, as the filter that an inner one lets the optimiser infer computes the whole map two more times.
+    """
+    return rows.select(*keep, F.explode_outer("norm").alias("field", "c")).where("field IS NOT NULL")

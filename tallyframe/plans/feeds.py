@@ -75,8 +75,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_by_key(normalized_rows(engine_rows(spark, sf_dir), FIELDS, NORMALIZATION), "alpha")
 
 
+def cells_of(found: DataFrame) -> DataFrame:
+    return consensus_cells(found, FIELDS, ENGINES, keep_extra=False)
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consensus_cells(records(spark, sf_dir), FIELDS, ENGINES, keep_extra=False)
+    return cells_of(records(spark, sf_dir))
 
 
 # The same in SQL, for comparison: views obs (long, normalised), voted (a row for each cell).

@@ -14,7 +14,7 @@ from ..functions.prices import numeric, parse_quantity, segments
 from ..functions.typed import quoted, scalar_json
 from ..operators import admission, align, decisions, enrich, quality, review
 from ..operators.consensus import missing_engines
-from ..operators.normalize import Rule, collisions, normalized_rows, observations
+from ..operators.normalize import Rule, collisions, exploded, normalized_rows, observations
 from ..sources import artifacts, jsonl, sinks, transcription
 from ..sources.profile import parse_profile
 from ..sources.work import materialize, new_path
@@ -74,7 +74,7 @@ def supporters(spark, sf_dir):
 @query("""SELECT v.k, v.field, count(DISTINCT CASE WHEN v.s IS NOT NULL THEN concat(v.t, ':', v.s) END) AS n_kinds, count(v.s) AS n_votes FROM val v GROUP BY v.k, v.field""")
 def typed_vote(spark, sf_dir):
     rows = normalized_rows(feeds.engine_rows(spark, sf_dir), FIELDS, NORMALIZATION)
-    long = rows.select(_k().alias("k"), F.explode("norm").alias("field", "c"))
+    long = exploded(rows, _k().alias("k"))
     return long.groupBy("k", "field").agg(F.count_distinct(F.when(F.col("c.value").isNotNull(), F.concat_ws(":", "c.value.t", "c.value.s"))).alias("n_kinds"), F.count("c.value").alias("n_votes"))
 
 
@@ -84,7 +84,7 @@ def typed_vote(spark, sf_dir):
 @query("SELECT engine_id, k, field, raw, s AS value FROM val")
 def normalize_text(spark, sf_dir):
     rows = normalized_rows(feeds.engine_rows(spark, sf_dir), FIELDS, NORMALIZATION)
-    long = rows.select("engine_id", _k().alias("k"), F.explode("norm").alias("field", "c"))
+    long = exploded(rows, "engine_id", _k().alias("k"))
     return long.select("engine_id", "k", "field", F.col("c.raw.s").alias("raw"), F.col("c.value.s").alias("value"))
 
 
@@ -121,7 +121,7 @@ def field_alias(spark, sf_dir):
 
     config = Normalization(default=NORMALIZATION.default, aliases={"note": "remark"})
     rows = normalized_rows(feeds.engine_rows(spark, sf_dir), ("note", "item_name"), config)
-    return rows.select("engine_id", _k().alias("k"), F.explode("norm").alias("field", "c")).select("engine_id", "k", "field", F.col("c.value.s").alias("value"))
+    return exploded(rows, "engine_id", _k().alias("k")).select("engine_id", "k", "field", F.col("c.value.s").alias("value"))
 
 
 @query("SELECT engine_id || ':' || CAST(k AS VARCHAR) AS row_uid, 'label' AS field, 2 AS n FROM feed")
@@ -513,7 +513,8 @@ UNION ALL SELECT 'duplicate_cell_id', count(*) FILTER (k % 50 = 10) FROM ids UNI
 UNION ALL SELECT 'unresolved', count(*) FILTER (status IN ('conflict', 'missing') AND NOT (k % 50 = 8 AND field = 'note')) + count(*) FILTER (status IN ('conflict', 'missing') AND k % 50 = 10 AND field = 'item_name') FROM cell""")
 def validation_checks(spark, sf_dir):
     """Records and cells with one thing wrong in each of some places; what the checks find, counted."""
-    records, cells = feeds.records(spark, sf_dir), feeds.cells(spark, sf_dir)
+    records = materialize(feeds.records(spark, sf_dir), "records")
+    cells = materialize(feeds.cells_of(records), "cells")
     k = F.get("members", F.lit(0))["row_index"]["s"].cast("long") % 50
     number = lambda s: F.struct(F.lit("int").alias("t"), s.cast("string").alias("s"))
     last = F.size("members") - 1
@@ -535,9 +536,7 @@ def validation_checks(spark, sf_dir):
     made = record_id(F.col("document_id"), F.col("page_id"), F.col("table_id"), F.lit("alpha"), scalar_json(anchor["row_index"]), scalar_json(anchor["page_index"]))
     again = wrong.withColumn("record_id", F.when((F.col("k") == 7) | ((F.col("k") == 5) & (F.size("members") == 1)), made).otherwise(F.col("record_id")))
     more = again.where("k = 1").select(*names)
-    own = cells.withColumn("k", F.get("candidates", F.lit(0)).isNotNull())
-    index = records.select("record_id", k.alias("k"))
-    at = own.drop("k").join(index, "record_id")
+    at = cells.join(records.select("record_id", k.alias("k")), "record_id")
     renamed = at.join(again.select(F.col("document_id").alias("d"), F.col("page_id").alias("p"), F.col("ordinal").alias("o"), F.col("record_id").alias("new_id"), F.col("k").alias("nk")).where("nk = 7 OR nk = 5"),
                       (F.col("document_id") == F.col("d")) & (F.col("page_id") == F.col("p")) & (F.col("ordinal") == F.col("o")), "left")
     fitted = renamed.withColumn("record_id", F.coalesce("new_id", "record_id")).drop("d", "p", "o", "new_id", "nk")
@@ -554,7 +553,6 @@ def decision_candidate_violations(spark, sf_dir):
     """Decisions that name a candidate of another cell, and a value that isn't their candidate's."""
     cells = feeds.cells(spark, sf_dir)
     first = F.get("candidates", F.lit(0))
-    k = F.substring_index(F.col("page_id"), "-", -1).cast("long") * 50
     records = feeds.records(spark, sf_dir).select("record_id", F.get("members", F.lit(0))["row_index"]["s"].cast("long").alias("k"))
     own = cells.where("status = 'conflict' AND field = 'item_name'").join(records, "record_id")
     nothing = F.lit(None).cast("string")
@@ -651,7 +649,8 @@ def read_back_rows(spark, sf_dir):
 CAST(1 + CASE WHEN c.k % 11 <> 3 THEN 1 ELSE 0 END + CASE WHEN c.k % 13 <> 5 THEN 1 ELSE 0 END AS INT) AS n_candidates FROM cell c""")
 def consensus_reload(spark, sf_dir):
     """Consensus as JSON lines, and read back."""
-    records, cells = materialize(feeds.records(spark, sf_dir), "records"), materialize(feeds.cells(spark, sf_dir), "cells")
+    records = materialize(feeds.records(spark, sf_dir), "records")
+    cells = materialize(feeds.cells_of(records), "cells")
     path = new_path(spark, "consensus")
     artifacts.consensus_lines(records, cells, list(ENGINES)).write.text(path)
     _, again = artifacts.load_consensus(spark, path)
