@@ -83,8 +83,8 @@ def held(carried: Carried):
     return _HELD[carried.key]
 
 
-#: Pieces in a generation of a memo: two generations take some 130 MB at most.
-REMEMBER = 350_000
+#: Pieces in a generation of a memo: two generations take some 115 MB at most.
+REMEMBER = 250_000
 
 
 def new_key() -> str:
@@ -124,7 +124,7 @@ class Memo:
 
 
 #: Bytes of text that are encoded in one go.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 
 
 def encode_texts(texts: pa.StringArray, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
