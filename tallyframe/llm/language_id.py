@@ -206,6 +206,15 @@ class CrossParser:
         return [self.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist())], score, each, np.array(self.bits)[best], letters, strange
 
 
+#: Steps of the hash that rows are ordered by, and rows that a window gets for each that is wanted.
+_STEPS, SPARE = 1 << 30, 8
+
+
+def _cut(wanted: int, rows: int) -> int:
+    """Steps of the hash below which some SPARE times as many of so many rows are expected as are wanted; all, if these are few."""
+    return _STEPS if rows <= SPARE * wanted else SPARE * wanted * _STEPS // rows
+
+
 def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_letters: int = SAMPLE_LETTERS, max_languages: int = MAX_LANGUAGES) -> CrossParser:
     """wanted: a condition on the column doc_id that rows to learn from meet.
 
@@ -218,14 +227,21 @@ def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str =
     ).where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     if wanted is not None:
         rows = rows.where(wanted)
-    rows = rows.withColumns({"hash": F.xxhash64("doc_id", "text"), "n": F.octet_length("text")}).where(F.col("text").rlike(_LETTER))
-    narrow = rows.select("lang", "hash", "n")
-    counts = narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    rows = rows.where(F.col("text").rlike(_LETTER)).withColumns({"hash": F.xxhash64("doc_id", "text"), "n": F.octet_length("text")})
+    narrow = rows.select("lang", "hash", "n", (F.col("n") < LEAST_BYTES).alias("short"), F.pmod(F.col("hash"), F.lit(_STEPS)).alias("step"))
+    counts = narrow.groupBy("lang").agg(F.count("*").alias("all"), F.count_if("short").alias("short")).orderBy(F.desc("all"), "lang").limit(max_languages).collect()
     if not counts:
         return CrossParser({})
-    order = Window.partitionBy("lang").orderBy(F.col("n") < LEAST_BYTES, "hash")
-    first = narrow.join(F.broadcast(docs.sparkSession.createDataFrame([(r.lang,) for r in counts], "lang string")), "lang")
-    found = first.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs).collect()
+    # rows come in the order of a hash; of a language with many, all but the first steps of it are left out before the window,
+    # which so has some SPARE times as many rows a language as are wanted
+    cuts = []
+    for r in counts:
+        long = r["all"] - r.short
+        cuts.append((r.lang, _cut(sample_docs, long), _cut(sample_docs, r.short) if long < sample_docs else 0))
+    few = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, long_cut long, short_cut long"))
+    first = narrow.join(few, "lang").where(F.col("step") < F.when(F.col("short"), F.col("short_cut")).otherwise(F.col("long_cut")))
+    order = Window.partitionBy("lang").orderBy("short", "step", "hash")
+    found = first.select("lang", "hash", "n", "short", "step").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs).collect()
     share = max(50, sample_letters // len(counts))  # in bytes at least as many as letters
     chosen, left = [], {r.lang: share for r in counts}
     for r in sorted(found, key=lambda r: (r.lang, r.place)):
