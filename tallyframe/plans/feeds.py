@@ -6,6 +6,8 @@ change case, blank cells and misread some, partly both in the same way.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,22 @@ PRICES = PriceConfig(
 CENTURY = 1900
 
 
+def planned(make):
+    """Keeps the plan that a function makes for a session and a folder, no data: making it anew takes seconds each time."""
+    kept: dict[tuple, DataFrame] = {}
+
+    @functools.wraps(make)
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+        if key not in kept:
+            kept.clear()
+            kept[key] = make(spark, sf_dir)
+        return kept[key]
+
+    return get
+
+
+@planned
 def engine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as rows of the engines, in the shape that readers give."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
@@ -71,6 +89,7 @@ def engine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@planned
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_by_key(normalized_rows(engine_rows(spark, sf_dir), FIELDS, NORMALIZATION), "alpha")
 
@@ -79,6 +98,7 @@ def cells_of(found: DataFrame) -> DataFrame:
     return consensus_cells(found, FIELDS, ENGINES, keep_extra=False)
 
 
+@planned
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells_of(records(spark, sf_dir))
 
