@@ -227,3 +227,24 @@ def test_whitespace_of_all_conversations(spark, data, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
     assert set(con.execute(SQL["normalize_whitespace"]).fetchall()) == want
+
+
+def test_planted_violations_of_lone_anchors(spark, tmp_path):
+    """Records with no source but the anchor, at every place where something is planted, against the SQL of the query."""
+    import datetime
+    import decimal
+
+    import duckdb
+
+    from tallyframe.plans.queries import QUERIES, SQL
+
+    lone = [k for k in range(7150) if k % 11 == 3 and k % 13 == 5]  # a k for every remainder of 50
+    orders = [(k, 1, datetime.date(1995, 3, 1), decimal.Decimal("10.50"), "5-LOW") for k in sorted({*lone, *range(1, 200)})]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date, o_totalprice decimal(15,2), o_orderpriority string").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "Customer#1")], "c_custkey long, c_name string").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    assert {k % 50 for k in lone} == set(range(50))
+    con = duckdb.connect()
+    for name in ("orders", "customer"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = {tuple(r) for r in QUERIES["validation_checks"](spark, str(tmp_path)).collect()}
+    assert got == set(con.execute(SQL["validation_checks"]).fetchall())
