@@ -141,3 +141,54 @@ def test_unrelated_texts_of_one_id_stay(spark):
     got = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     kept = sorted((r.doc_id, (r.text or "")[:2]) for r in got.collect())
     assert kept == [(1, "a0"), (5, "b0"), (5, "c0"), (8, "")]
+
+
+def test_near_copies_with_repeated_shingles(spark):
+    """A line that comes many times is a few shingles of a set; the copy that has it goes."""
+    words = " ".join(f"w{k}" for k in range(150))
+    rows = [(1, words), (2, words + " buy it now please today" * 60), (3, "buy it now please today " * 60)]
+    got = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in got.collect()} == {1, 3}
+
+
+def test_large_groups_of_near_copies(spark, monkeypatch):
+    """Edited copies of two texts, linked step by step or not at all, in families of several chunks, and very short ones."""
+    import random
+
+    from tallyframe.llm import near_copies
+
+    monkeypatch.setattr(near_copies, "CHUNK", 40)
+    rng, rows = random.Random(5), []
+    for base in ("a", "b"):
+        for k in range(150):
+            words = [f"{base}{j}" for j in range(130)]
+            for _ in range(rng.randrange(9)):
+                words[rng.randrange(130)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(1000, "a b c d e f g h i"), (1001, "b c d e f g h i"), (1002, "c d e f g h i"), (1003, "b c d e f g h i j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = least_of_near_copies(as_rows(docs))
+    assert {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, "").collect()} == want and 20 < len(want) < 250
+
+
+def test_pivot_tables_lose_no_link():
+    """Small and large buckets of fingerprints in groups, against all pairs."""
+    import numpy as np
+
+    from tallyframe.llm import near_copies
+    from tallyframe.llm.simhash import Forest
+
+    rng = np.random.default_rng(7)
+    key = np.sort(np.concatenate((rng.integers(0, 40, 400), np.full(300, 50), [60])))
+    centres = rng.integers(0, 2**64, (4, 2), np.uint64)
+    flips = np.packbits(rng.random((len(key), 2, 64)) < rng.choice([0.03, 0.1, 0.2], (len(key), 1, 1)), axis=2).view(np.uint64)[:, :, 0]
+    fp, behind = (centres[rng.integers(0, 4, len(key))] ^ flips).T.copy()
+    x, y = near_copies.bucket_forests(key, fp, behind)
+    near = (key[:, None] == key) & (np.bitwise_count(fp[:, None] ^ fp) <= near_copies.RADIUS) & (np.bitwise_count(behind[:, None] ^ behind) <= near_copies.NEXT_RADIUS)
+    assert near[x, y].all()
+    own, all_pairs = Forest(len(key)), Forest(len(key))
+    assert all([own.join(a, b) for a, b in zip(x.tolist(), y.tolist())])  # a forest
+    for a, b in np.argwhere(near).tolist():
+        all_pairs.join(a, b)
+    assert [own.find(k) for k in range(len(key))] == [all_pairs.find(k) for k in range(len(key))]
+    assert 50 < len(x) < len(key) - 41
