@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import bpe, decontaminate, language_id, near_copies, suffix_dedup
 from tallyframe.llm.common import load, map_columns, materialize, settle
-from tallyframe.llm.units import Carried, held, slices
+from tallyframe.llm.units import Carried, held, release, slices
 
 #: A text is in none of the languages where, beyond one phrase, it costs more bits a letter in the best of them, and that
 #: language's sample lacks half of its letters or more.
 MAX_BITS = 9.0
 #: Documents with so many benchmark items go; below that, passages of so many words are cut out.
 MIN_ITEMS, WINDOW = 2, 8
+#: Executors' heaps are full grown by the time that tokens are made: their workers remember fewer pieces, and take fewer bytes
+#: of text at once, than where op10 runs alone. What is no longer remembered is encoded again, so ids are the same.
+REMEMBER, TOGETHER = 100_000, 1 << 20
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,6 +84,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     at = names.index("text")
 
     def run(batches):
+        release()
         for piece, found in suffix_dedup.texts_with_spans(batches, at):
             new, keep = [], []
             for raw, spans in found:
@@ -144,7 +148,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of each document's ids, and the digest of what they decode to; null and empty texts have none."""
-    return bpe.encoding_report(docs, bpe.public_encoder())
+    return bpe.encoding_report(docs, bpe.public_encoder(REMEMBER), together=TOGETHER)
 
 
 STAGES = [

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from xxhash import xxh3_128_intdigest
 
 from .common import id_text, load, settle, utf8
-from .units import REMEMBER, Carried, Memo, encode_texts, held, new_key, slices
+from .units import REMEMBER, TOGETHER, Carried, Memo, encode_texts, held, new_key, slices
 
 #: Bytes of a rank file that may travel with the tasks.
 MAX_RANK_FILE = 64 << 20
@@ -198,8 +198,8 @@ class BytePairEncoder:
         return " ".join(map(self._decimal.__getitem__, ids))
 
 
-def encoder(path: str, pattern: str) -> BytePairEncoder:
-    return BytePairEncoder(read_ranks(path), pattern)
+def encoder(path: str, pattern: str, remember: int = REMEMBER) -> BytePairEncoder:
+    return BytePairEncoder(read_ranks(path), pattern, remember)
 
 
 def encode_documents(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,19 +231,20 @@ def decode_documents(encoded: DataFrame, bpe: BytePairEncoder) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, content binary")
 
 
-def encoding_report(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Number of ids, digest of the ids and digest of the bytes that the ids decode to, in one scan."""
+def encoding_report(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id", text_col: str = "text", together: int = TOGETHER) -> DataFrame:
+    """Number of ids, digest of the ids and digest of the bytes that the ids decode to, in one scan. together: bytes of text
+    that are encoded in one go."""
     carried = Carried(bpe)
 
     def run(batches):
         own = held(carried)
         for batch in batches:
-            for a, rows in slices(batch.column(1)):
+            for a, rows in slices(batch.column(1), together):
                 flat, ends = own.encode_arrow(batch.column(1).slice(a, rows))
-                flat, ends = flat.tolist(), ends.tolist()
+                ends = ends.tolist()
                 ids_sha, back_sha = [], []
                 for start, end in zip([0, *ends], ends):
-                    ids = flat[start:end]
+                    ids = flat[start:end].tolist()
                     ids_sha.append(hashlib.sha256(own.decimals(ids).encode()).hexdigest())
                     back_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays(
@@ -255,10 +256,10 @@ def encoding_report(docs: DataFrame, bpe: BytePairEncoder, id_col: str = "doc_id
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def public_encoder() -> BytePairEncoder:
+def public_encoder(remember: int = REMEMBER) -> BytePairEncoder:
     import public_tokenizers
 
-    return encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, remember)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

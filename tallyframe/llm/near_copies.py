@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import column, materialize, settle, utf8
 from .components import connected_components
 from .simhash import SEED, Forest, bit_parts, linked_pairs, pivots
-from .units import slices
+from .units import release, slices
 
 SHINGLE, LEAST = 5, 0.8
 LANES, PARTS, RADIUS, NEXT_RADIUS = 15, 5, 14, 17
@@ -85,6 +85,7 @@ def sketches(docs: DataFrame, names: list[str], kinds: str, text_col: str = "tex
     """The named columns of docs, whose types are kinds, then node, fps and fours."""
 
     def run(batches):
+        release()
         for whole in batches:
             for a, n in slices(whole.column(len(names))):
                 yield one(whole.slice(a, n))
@@ -107,6 +108,7 @@ def dealt(nodes: DataFrame) -> DataFrame:
     """(key, node, fp, next): a row for each part of each fingerprint of (node, fps), with the fingerprint behind that one."""
 
     def run(batches):
+        release()
         for batch in batches:
             fps = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, LANES)
             node = batch.column(0).to_numpy()
@@ -177,6 +179,7 @@ def fingerprint_links(nodes: DataFrame) -> DataFrame:
             a, b = np.unique(np.stack((np.minimum(node[x], node[y]), np.maximum(node[x], node[y]))), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
+        release()
         held, n = [], 0
         for batch in batches:
             cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
@@ -251,6 +254,7 @@ def similar_links(links: DataFrame, texts) -> DataFrame:
             nodes = [node for node, _ in held]
             return [(nodes[x], nodes[y]) for x, y in similar_pairs([text for _, text in held])]
 
+        release()
         of, held = None, []
         for batch in batches:
             out = []

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from .common import id_text, load, settle, utf8
 from .suffix_sort import common_prefixes, suffix_array
-from .units import slices
+from .units import release, slices
 
 LENGTH, GRAM = 100, 24
 #: Bytes of runs in a bucket, of text in one go, of runs in one block, and of runs that are sorted together.
@@ -219,7 +219,12 @@ def _pieces(raw: bytes, length: int):
 
 def text_runs(texts: list[tuple[int, int, bytes]], length: int, ranks: Ranks = Ranks()) -> list[Runs]:
     """Runs of (doc_id, tie, bytes) texts, in parts of about PIECE_BYTES of text."""
-    found, held, size = [], [], 0
+    return list(each_runs(texts, length, ranks))
+
+
+def each_runs(texts: list[tuple[int, int, bytes]], length: int, ranks: Ranks = Ranks()):
+    """What text_runs gives, a part at a time."""
+    held, size = [], 0
 
     def flush():
         raw = np.frombuffer(b"".join(p for *_, p in held), np.uint8)
@@ -230,7 +235,7 @@ def text_runs(texts: list[tuple[int, int, bytes]], length: int, ranks: Ranks = R
         ids, ties, at = (np.array(x, np.int64) for x in zip(*((h[0], h[1], h[2]) for h in held)))
         begin = np.cumsum(sizes) - sizes
         bytes_ = gather(raw, starts, windows + length - 1)
-        found.append(Runs(key, ids[of], ties[of], starts - begin[of] + at[of], windows, repeats, place.astype(np.uint8), bytes_, length))
+        return Runs(key, ids[of], ties[of], starts - begin[of] + at[of], windows, repeats, place.astype(np.uint8), bytes_, length)
 
     for doc_id, tie, raw in texts:
         if len(raw) < length:
@@ -239,11 +244,10 @@ def text_runs(texts: list[tuple[int, int, bytes]], length: int, ranks: Ranks = R
             held.append((doc_id, tie, at, piece))
             size += len(piece)
             if size >= PIECE_BYTES:
-                flush()
+                yield flush()
                 held, size = [], 0
     if held:
-        flush()
-    return found
+        yield flush()
 
 
 def merge_equal(runs: Runs, spans: list) -> Runs:
@@ -371,6 +375,7 @@ def frequent_grams(narrow: DataFrame, length: int, sample: int = SAMPLE, hot_byt
     some = narrow.where(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).where(F.octet_length("text") >= length)
 
     def keys(batches):
+        release()
         for batch in batches:
             for a, n in slices(batch.column(0)):
                 for text in batch.column(0).slice(a, n).to_pylist():
@@ -396,7 +401,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
         def emit(texts):
             by_bucket: dict[int, list[Runs]] = {}
-            for runs in text_runs(texts, length, ranks):
+            for runs in each_runs(texts, length, ranks):
                 to = (runs.key % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 runs, to = runs.take(order), to[order]
@@ -404,6 +409,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 offsets = np.concatenate(([0], np.cumsum(runs.sizes)))[cuts].tolist()
                 for a, b, x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), offsets, offsets[1:]):
                     by_bucket.setdefault(int(to[a]), []).append(runs.slice(a, b, x, y))
+            texts.clear()
             ids, spans = sorted(by_bucket), []
             for a in range(0, len(ids), 64):
                 rows = [merge_equal(Runs.join(by_bucket.pop(i)), spans).pack() for i in ids[a : a + 64]]
@@ -431,6 +437,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 ids_, ties, sizes = zip(*gone)
                 yield from known([ids_, ties, np.zeros(len(gone)), sizes])
 
+        release()
         held_, size = [], 0
         for batch in batches:
             for a, n in slices(batch.column(1)):
@@ -456,6 +463,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1)):
                     yield bucket, block.as_buffer()
 
+        release()
         stream = blocks()
         item = next(stream, None)
         while item is not None:
@@ -498,6 +506,7 @@ def with_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", te
     def pack(batches):
         import zstandard
 
+        release()
         press = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for a, n in slices(batch.column(at)):

@@ -83,6 +83,15 @@ def held(carried: Carried):
     return _HELD[carried.key]
 
 
+def release() -> None:
+    """For work that needs no model, in a worker that may still hold the one of a job before: that one goes."""
+    if _HELD:
+        from .common import settle
+
+        _HELD.clear()
+        settle()
+
+
 #: Pieces in a generation of a memo: two generations take some 115 MB at most.
 REMEMBER = 250_000
 

@@ -192,3 +192,47 @@ def test_pivot_tables_lose_no_link():
         all_pairs.join(a, b)
     assert [own.find(k) for k in range(len(key))] == [all_pairs.find(k) for k in range(len(key))]
     assert 50 < len(x) < len(key) - 41
+
+
+def test_stages_without_a_model_let_go_of_one(spark, monkeypatch):
+    """A worker that held a stage's model has that memory back in the next stage, whichever of its functions comes first."""
+    from tallyframe.llm import units
+
+    caught, table = [], spark.createDataFrame([(i, t, "en", "odd", 7) for i, t in texts()], SCHEMA)
+    own = type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, run, *a, **k: caught.append(run) or own(self, run, *a, **k))
+    pipeline.cut_repeated_passages(spark, pipeline.drop_near_duplicates(spark, table, "").drop("__spans"), "")
+    assert len(caught) >= 8
+    monkeypatch.setattr(units, "_HELD", {})
+    for run in caught:
+        units.held(units.Carried(Model()))
+        assert units._HELD
+        list(run(iter([])))
+        assert not units._HELD, run.__qualname__
+
+
+class Model:
+    key = "some model"
+
+
+def test_runs_are_cut_a_part_at_a_time(spark, monkeypatch):
+    """All runs of a block of texts, some four times its bytes, are not there a second time while they are dealt out."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    caught, table, rnd = [], spark.createDataFrame([(1, "a" * 100_000)], "doc_id long, text string"), random.Random(3)
+    own = type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, run, *a, **k: caught.append(run) or own(self, run, *a, **k))
+    suffix_dedup.repeated_spans(table, hot=[], bucket_bytes=5_000)  # about a hundred buckets
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(5000)]
+    batch = pa.record_batch([pa.array(range(800), pa.int64()), pa.array([" ".join(rnd.choices(words, k=2500)) for _ in range(800)])], ["doc_id", "text"])
+    size = batch.column(1).nbytes
+    assert 10 << 20 < size < 15 << 20
+    tracemalloc.start()
+    for _ in caught[0](iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10.5 * size
