@@ -20,14 +20,17 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_text, load, new_path, settle
 from .pfor import read_segment, write_segment
-from .units import REMEMBER, Carried, Memo, encode_texts, held, new_key, slices
+from .units import Carried, Memo, encode_texts, held, new_key, slices
 
 SEGMENT_IDS = 1 << 17
+#: Pieces in a generation of the memo, and bytes of text that are encoded in one go: the more, the fewer pieces come again.
+REMEMBER, TOGETHER = 400_000, 4 << 20
 #: Bytes of a tokenizer's file that may travel with the tasks.
 MAX_TOKENIZER = 64 << 20
 NULL_ID = -(2**63)
@@ -35,6 +38,9 @@ NULL_ID = -(2**63)
 _WHITE = re.compile(
     rb"[\t-\r\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8b\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
 )
+_WHITE_BUT_SPACE = _WHITE.pattern.decode().replace(r"\x20", r"\x1f")
+#: Words that the library gets as one text: it takes longer over a long text than over its parts.
+WORDS = 128
 REPORT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -68,16 +74,23 @@ class LibraryEncoder:
         self._memo = Memo(self._pieces, self.remember)
 
     def _pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """The library gets the pieces that are a space and a word as one text. No id's bytes join two of them, and those of
-        each one's first id start with the space, which tells where a piece begins. Other pieces are texts of their own."""
-        words, others = [], []
-        for i, p in enumerate(pieces):
-            rest = p[1:]
-            (words if p[:1] == b" " and rest and (rest.isalnum() or not _WHITE.search(rest)) else others).append(i)
+        """The library gets the pieces that are a space and a word as texts of many. No id's bytes join two of them, and those
+        of each one's first id start with the space, which tells where a piece begins. Other pieces are texts of their own."""
+        words = [i for i, p in enumerate(pieces) if p[:1] == b" " and len(p) > 1]
+        own = [pieces[i] for i in words]
+        # one look at all of them; piece by piece only where one has more white space than its first byte
+        text = b"".join(own)
+        if text.count(b" ") != len(own) or pc.match_substring_regex(pa.array([text], pa.binary()), _WHITE_BUT_SPACE)[0].as_py():
+            words = [i for i in words if not _WHITE.search(pieces[i], 1)]
+            own = [pieces[i] for i in words]
+        others = np.setdiff1d(np.arange(len(pieces)), words, assume_unique=True).tolist()
         out: list[bytes] = [b""] * len(pieces)
         if words:
-            text = b"".join([pieces[i] for i in words]).decode("utf-8", "surrogatepass")
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            many = [b"".join(own[a : a + WORDS]).decode("utf-8", "surrogatepass") for a in range(0, len(own), WORDS)]
+            each = array("I")
+            for found in self.tokenizer.encode_batch_fast(many, add_special_tokens=False):
+                each.extend(found.ids)
+            ids = np.frombuffer(each, "<u4")
             starts = np.flatnonzero(self._spaced[ids])
             if len(starts) != len(words):  # a vocabulary of another kind
                 raise ValueError("this tokenizer does not mark the start of words by a space")
@@ -116,7 +129,7 @@ def write_token_files(docs: DataFrame, encoder: LibraryEncoder, path: str, id_co
 
         own = held(carried)
         for batch in batches:
-            for a, n in slices(batch.column(1)):
+            for a, n in slices(batch.column(1), TOGETHER):
                 ids = batch.column(0).slice(a, n).fill_null(NULL_ID)
                 flat, ends = own.encode_arrow(batch.column(1).slice(a, n))
                 raw = flat.astype(f"<u{own.width}")

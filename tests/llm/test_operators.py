@@ -334,6 +334,30 @@ def test_token_files(spark, docs, empty):
     assert rows(tokenfile.read_token_files(spark, path)) == []
 
 
+def test_library_gets_words_in_short_texts():
+    """Pieces get the ids that each has alone, odd white space within or not, and no text of the library's is long."""
+    import public_tokenizers
+
+    class Watched:
+        def __init__(self, own):
+            self.own, self.longest, self.texts = own, 0, 0
+
+        def encode_batch_fast(self, many, **how):
+            self.longest, self.texts = max(self.longest, *map(len, many)), self.texts + len(many)
+            return self.own.encode_batch_fast(many, **how)
+
+    coder, rnd = tokenfile.LibraryEncoder(public_tokenizers.path("byte_bpe_50k.json"), 2), random.Random(8)
+    coder._prepare()
+    plain = [" " + "".join(rnd.choices("abcdefghij'é漢9._-", k=rnd.randint(1, 12))) for _ in range(1000)]
+    odd = [" a  b", " a\u3000", " a\u00a0b c", " \tx", " ", "\n", "x", " x\u200b", " \u2028", " \x1cz", " a ", "  "]
+    alone = coder.tokenizer
+    for pieces in (plain, plain + odd, plain[:128], plain[:129], odd, plain[:1], []):
+        coder.tokenizer = watched = Watched(alone)
+        got = coder._pieces([p.encode() for p in pieces])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [alone.encode(p, add_special_tokens=False).ids for p in pieces]
+        assert watched.longest <= 128 * 13 and watched.texts <= len(pieces) / 128 + len(odd) + 1
+
+
 def test_media(spark, docs, empty):
     import tarfile
 
