@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -33,6 +34,12 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(column(df, id_col).cast("long").alias("doc_id"), column(df, text_col).cast("string").alias("text"))
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """A small table from the driver as a part of the plan. A list of rows would go through Python workers of another kind,
+    which every executor then keeps beside those of the operators."""
+    return spark.createDataFrame(pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema))
+
+
 def fold(doc_id: int, folds: int) -> int:
     """Remainder of the crc32 of the id as text."""
     return zlib.crc32(str(doc_id).encode()) % folds
@@ -46,8 +53,6 @@ def settle() -> None:
     """Gives memory that a Python worker has freed back to the system; Spark keeps workers for the tasks to come."""
     import ctypes
 
-    import pyarrow as pa
-
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:  # glibc has it

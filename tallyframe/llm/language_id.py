@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, fold_column, id_text, load, settle
+from .common import column, fold_column, id_text, load, local_table, settle
 from .units import Carried, held, new_key, slices
 
 SAMPLE_DOCS, SAMPLE_LETTERS, LEAST_BYTES, MAX_LANGUAGES = 256, 120_000, 100, 500
@@ -238,7 +238,7 @@ def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str =
     for r in counts:
         long = r["all"] - r.short
         cuts.append((r.lang, _cut(sample_docs, long), _cut(sample_docs, r.short) if long < sample_docs else 0))
-    few = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, long_cut long, short_cut long"))
+    few = F.broadcast(local_table(docs.sparkSession, cuts, pa.schema({"lang": pa.string(), "long_cut": pa.int64(), "short_cut": pa.int64()})))
     first = narrow.join(few, "lang").where(F.col("step") < F.when(F.col("short"), F.col("short_cut")).otherwise(F.col("long_cut")))
     order = Window.partitionBy("lang").orderBy("short", "step", "hash")
     found = first.select("lang", "hash", "n", "short", "step").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs).collect()
@@ -250,7 +250,7 @@ def learn(docs: DataFrame, wanted=None, id_col: str = "doc_id", text_col: str =
             chosen.append((r.lang, r["hash"], r.place))
         elif r.place == 1:
             chosen.append((r.lang, r["hash"], sample_docs + 1))  # in case that no other fits
-    few = F.broadcast(docs.sparkSession.createDataFrame(chosen, "lang string, hash long, place int"))
+    few = F.broadcast(local_table(docs.sparkSession, chosen, pa.schema({"lang": pa.string(), "hash": pa.int64(), "place": pa.int32()})))
     texts = rows.join(few, ["lang", "hash"]).groupBy("lang", "hash", "place").agg(F.min(F.substring("text", 1, share)).alias("text")).collect()
     own: dict[str, list[str]] = {}
     for r in sorted(texts, key=lambda r: (r.lang, r.place)):

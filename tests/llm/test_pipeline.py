@@ -236,3 +236,14 @@ def test_runs_are_cut_a_part_at_a_time(spark, monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 10.5 * size
+
+
+def test_learning_starts_no_workers_of_its_own(spark, data, monkeypatch):
+    """Small tables of the driver are parts of plans: rows that go through Python would leave two more workers in an executor."""
+    from tallyframe.llm import language_id
+
+    made, own = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, *a, **k: made.append(own(self, *a, **k)) or made[-1])
+    assert language_id.learn(common.load(spark, data, "documents")).languages
+    assert len(made) == 2 and all(m.count() and m.columns[0] == "lang" for m in made)
+    assert all("ExistingRDD" not in m._jdf.queryExecution().toString() for m in made)
