@@ -35,13 +35,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     def run(batches):
         at, own = names.index("text"), held(carried)
-        for batch in batches:
-            keep = []
-            for a, n in slices(batch.column(at)):
-                lang, _, each, phrase, letters, strange = own.judge(batch.column(at).slice(a, n).to_pylist())
+        for whole in batches:
+            for a, n in slices(whole.column(at), TOGETHER):
+                batch = whole.slice(a, n)
+                lang, _, each, phrase, letters, strange = own.judge(batch.column(at).to_pylist())
                 out = (each * letters > MAX_BITS * letters + phrase) & (2 * strange >= letters)
-                keep += [name != "und" and not x for name, x in zip(lang, out.tolist())]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+                yield batch.filter(pa.array([name != "und" and not x for name, x in zip(lang, out.tolist())], pa.bool_()))
         settle()
 
     return map_columns(docs, run, docs.schema)

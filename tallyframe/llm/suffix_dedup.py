@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import id_text, load, settle, utf8
-from .suffix_sort import common_prefixes, suffix_array
+from .suffix_sort import TOGETHER, common_prefixes, place_type, suffix_array
 from .units import release, slices
 
 LENGTH, GRAM = 100, 24
 #: Bytes of runs in a bucket, of text in one go, of runs in one block, and of runs that are sorted together.
-BUCKET_BYTES, PIECE_BYTES, BLOCK_BYTES, SORT_BYTES, HELD_BYTES = 16 << 20, 1 << 20, 16 << 20, 1 << 20, 24 << 20
+BUCKET_BYTES, PIECE_BYTES, BLOCK_BYTES, SORT_BYTES, HELD_BYTES = 16 << 20, 1 << 20, 16 << 20, 1 << 19, 24 << 20
 #: One text in SAMPLE is looked at for frequent grams; a gram whose runs would have HOT_BYTES is one; MAX_HOT are kept.
 SAMPLE, HOT_BYTES, MAX_HOT = 64, 8 << 20, 1 << 16
 ZSTD_LEVEL = 6
@@ -206,8 +206,8 @@ class Runs:
         text, windows, repeats = np.frombuffer(raw, np.uint8, offset=at + 2 * size * n), windows >> 1, (windows & 1).astype(bool)
         sizes = windows + (length - 1)
         key, grams = np.empty(n, np.uint64), np.cumsum(sizes) - sizes + place
-        for a in range(0, n, 20_000):
-            key[a : a + 20_000] = ranks.of(gram_hashes(text[grams[a : a + 20_000, None] + np.arange(GRAM)].T)[0])
+        for a in range(0, n, 4000):
+            key[a : a + 4000] = ranks.of(gram_hashes(text[grams[a : a + 4000, None] + np.arange(GRAM)].T)[0])
         return Runs(key, docs[0][which], docs[1][which], start, windows, repeats, place, text, length)
 
 
@@ -282,20 +282,29 @@ def repeated_windows(runs: Runs, spans: list) -> None:
     n = len(runs)
     begin = np.cumsum(sizes + 1) - (sizes + 1)
     s = np.zeros(int(sizes.sum()) + n, np.uint8)
-    s[_ragged(begin, sizes)] = runs.raw + np.uint8(1)  # no byte of UTF-8 is 255; 0 ends a run
-    window = np.zeros(len(s), bool)
-    window[_ragged(begin, runs.windows)] = True
+    text, window = np.ones(len(s), bool), np.zeros(len(s), np.int8)
+    text[begin + sizes] = False
+    s[text] = runs.raw + np.uint8(1)  # no byte of UTF-8 is 255; 0 ends a run
+    window[begin], window[begin + runs.windows] = 1, -1
+    window = np.cumsum(window, dtype=np.int8).astype(bool)
     order = suffix_array(s, length)
     order = order[window[order]]
     same = np.zeros(len(order), bool)
     same[1:] = common_prefixes(s, order[:-1], order[1:], length) >= length
-    group = np.cumsum(~same) - 1
-    size = np.bincount(group)
-    inside = size[group] > 1
-    at, group = order[inside], group[inside]
-    of = np.searchsorted(begin, at, side="right") - 1
-    place = runs.start[of] + at - begin[of]
-    rank = np.lexsort((place, runs.tie[of], runs.doc_id[of], group))
+    inside = same.copy()
+    inside[:-1] |= same[1:]
+    at, group = order[inside], np.cumsum(~same, dtype=order.dtype)[inside]
+    del text, window, order, same, inside
+    # numbers of runs and places are held in as few bytes as they need: a key's windows may be a million
+    of = np.empty(len(at), np.int32)
+    for a in range(0, len(at), TOGETHER):
+        of[a : a + TOGETHER] = np.searchsorted(begin, at[a : a + TOGETHER], side="right") - 1
+    kind = place_type(max(len(s), int((runs.start + sizes).max())))
+    place = (runs.start - begin).astype(kind)[of]
+    place += at
+    del at
+    doc = np.unique(np.stack([runs.doc_id, runs.tie]), axis=1, return_inverse=True)[1].reshape(-1).astype(np.int32)  # in that order
+    rank = np.lexsort((place, doc[of], group))
     later = np.zeros(len(rank), bool)
     later[1:] = group[rank][1:] == group[rank][:-1]
     gone = rank[later]
@@ -306,7 +315,7 @@ def repeated_windows(runs: Runs, spans: list) -> None:
         first = np.ones(len(o), bool)
         first[1:] = (o[1:] != o[:-1]) | (p[1:] - p[:-1] > length)
         last = np.concatenate((first[1:], [True]))
-        spans.append((runs.doc_id[o[first]], runs.tie[o[first]], p[first], p[last] + length))
+        spans.append((runs.doc_id[o[first]], runs.tie[o[first]], p[first].astype(np.int64), p[last].astype(np.int64) + length))
 
 
 def bucket_spans(parts, length: int, sort_bytes: int = SORT_BYTES, held_bytes: int = HELD_BYTES) -> list:
@@ -319,7 +328,10 @@ def bucket_spans(parts, length: int, sort_bytes: int = SORT_BYTES, held_bytes: i
         held.append(part)
         size += len(part.raw)
         if size > limit:
-            held = [merge_equal(Runs.join(held), spans)]
+            joined, held = Runs.join(held), []  # the parts go before the copy without equal runs is made
+            del part
+            held.append(merge_equal(joined, spans))
+            del joined
             size = len(held[0].raw)
             limit = max(held_bytes, 2 * size)
     if not held:
@@ -337,8 +349,7 @@ def bucket_spans(parts, length: int, sort_bytes: int = SORT_BYTES, held_bytes: i
     del keys, sizes, order, total, sorted_keys
     low = None
     for high in bounds:
-        own = [r.take(np.flatnonzero((r.key <= high) if low is None else (r.key <= high) & (r.key > low))) for r in held]
-        sorted_spans(Runs.join(own), length, sort_bytes, spans)
+        sorted_spans(Runs.join([r.take(np.flatnonzero((r.key <= high) if low is None else (r.key <= high) & (r.key > low))) for r in held]), length, sort_bytes, spans)
         low = high
     return spans
 
@@ -480,6 +491,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     item = next(stream, None)
 
             spans = bucket_spans(own(), length)
+            settle()
             if spans:
                 yield rows(spans)
         settle()

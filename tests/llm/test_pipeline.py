@@ -247,3 +247,50 @@ def test_learning_starts_no_workers_of_its_own(spark, data, monkeypatch):
     assert language_id.learn(common.load(spark, data, "documents")).languages
     assert len(made) == 2 and all(m.count() and m.columns[0] == "lang" for m in made)
     assert all("ExistingRDD" not in m._jdf.queryExecution().toString() for m in made)
+
+
+def test_a_key_with_very_many_windows_takes_little_memory():
+    """Runs of one key can't be parted; places of their windows are held in few bytes, and are compared some at a time."""
+    import tracemalloc
+
+    import numpy as np
+
+    n, size, length = 3000, 300, 100
+    rnd = np.random.default_rng(3)
+    raw = np.tile(rnd.integers(97, 123, size, np.uint8), (n, 1))
+    raw[np.arange(n), rnd.integers(0, size, n)] = ord("#")
+    number, windows = np.arange(n), np.full(n, size - length + 1)
+    runs = suffix_dedup.Runs(np.zeros(n, np.uint64), number, number % 7, number * 0 + 5, windows, number < 0, number.astype(np.uint8), raw.ravel(), length)
+    spans = []
+    tracemalloc.start()
+    suffix_dedup.repeated_windows(runs, spans)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    seen, wanted = set(), {}
+    for i, text in enumerate(map(bytes, raw)):
+        own = [text[a : a + length] for a in range(size - length + 1)]
+        wanted[i] = {a + x for a, w in enumerate(own) if w in seen for x in range(length)}
+        seen.update(own)
+    assert spans and all(c.dtype == np.int64 for cut in spans for c in cut)
+    got = {i: set() for i in range(n)}
+    for doc_id, tie, start, end in zip(*(np.concatenate(c).tolist() for c in zip(*spans))):
+        assert tie == doc_id % 7
+        got[doc_id].update(range(start - 5, end - 5))
+    assert got == wanted
+    assert peak < 45 * raw.size
+
+
+def test_languages_are_decided_some_text_at_a_time(spark, monkeypatch):
+    """What a worker holds of a batch, and hands back at once, has about TOGETHER bytes of text."""
+    import pyarrow as pa
+
+    table, caught = spark.createDataFrame([(i, t, "en", "odd", 7) for i, t in texts()], SCHEMA), []
+    own = type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, run, *a, **k: caught.append(run) or own(self, run, *a, **k))
+    pipeline.keep_known_languages(spark, table, "")
+    text = next(t for _, t in texts() if t and len(t) > 100)
+    many = 3 * pipeline.TOGETHER // len(text.encode())
+    batch = pa.record_batch([pa.array(range(many)), pa.array([text] * many), *(pa.array([x] * many) for x in ("en", "odd", 7))], ["c0", "c1", "c2", "c3", "c4"])
+    out = list(caught[-1](iter([batch])))
+    assert sum(b.num_rows for b in out) == many
+    assert max(b.num_rows for b in out) * len(text.encode()) <= pipeline.TOGETHER
