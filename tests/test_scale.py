@@ -48,3 +48,28 @@ def test_each(spark):
         got = {r.k: r.b for r in df.select("k", text.each(F.col("a"), lambda x, i: x * 10 + i, n).alias("b")).collect()}
         assert got == {k: [x * 11 for x in range(k)] if k < 6 else None for k in range(7)}
     assert spark.range(1).select(text.tidy(F.lit("a b")), text.tidy(F.lit(" a")), text.tidy(F.lit("a  b")), text.tidy(F.lit("é"))).first()[:] == (True, False, False, False)
+
+
+def test_shared_letters():
+    """All pairs at once, against counting; rows of scores are those of all gains together."""
+    import random
+    from collections import Counter
+
+    import numpy as np
+
+    from tallyframe.operators.align import AlignmentConfig, SectionAligner, shared_letters
+
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("aab é😀\ud800") for _ in range(rnd.randint(0, 9))) for _ in range(30)]
+    rows, cols = np.arange(0, 30, 2), np.arange(1, 30, 3)
+    want = [[sum((Counter(texts[i]) & Counter(texts[j])).values()) for j in cols] for i in rows]
+    assert shared_letters(texts, rows, cols).tolist() == want
+    assert shared_letters(["", ""], np.array([0]), np.array([1])).tolist() == [[0.0]]
+    one, two = np.random.default_rng(1).uniform(-1, 1, (2, 5, 7))
+    aligner = SectionAligner(AlignmentConfig())
+    for gain, got in zip((one, two), aligner.scores(one, two)):
+        table = aligner.config.gap_penalty * np.add.outer(np.arange(6), np.arange(8)).astype(float)
+        for i in range(1, 6):
+            for j in range(1, 8):
+                table[i, j] = max(table[i - 1, j - 1] + gain[i - 1, j - 1], table[i - 1, j] - 0.4, table[i, j - 1] - 0.4)
+        assert np.allclose(table, got)
