@@ -73,3 +73,30 @@ def test_shared_letters():
             for j in range(1, 8):
                 table[i, j] = max(table[i - 1, j - 1] + gain[i - 1, j - 1], table[i - 1, j] - 0.4, table[i, j - 1] - 0.4)
         assert np.allclose(table, got)
+
+
+def test_artifacts_are_parsed_once(spark, data, tmp_path):
+    """The gate and what is read later look at lines that were parsed once, and equal provenances within a record once."""
+    import json
+
+    from tallyframe.sources import artifacts, jsonl
+    from tallyframe.sources.work import new_path
+
+    records, cells = feeds.written(spark, data)
+    path = new_path(spark, "consensus")
+    artifacts.consensus_lines(records, cells, list(feeds.ENGINES)).write.text(path)
+    heads, again = artifacts.load_consensus(spark, path)
+    assert "MapInArrow" not in heads._jdf.queryExecution().toString() + again._jdf.queryExecution().toString()
+    one = json.loads(spark.read.text(path).first()[0])
+    many = [c["provenance"] for cell in one["cells"].values() for c in cell["candidates"]]
+    many[0]["source_row_index"], many[1]["source_row_index"] = 1, 1.0
+    got = artifacts.parse_record(json.dumps(one))
+    origins = [c["provenance"] for cell in got["cells"] for c in cell["candidates"]]
+    assert origins == [artifacts._origin_json(p) for p in many]
+    assert jsonl.load_json('{"a": [1, 1.0]}') == {"a": [1, 1.0]} and jsonl.canonical({"b": 1.0, "a": "é"}) == '{"a":"é","b":1.0}'
+    for bad in ("NaN", "-Infinity", "﻿1", "1 2", ""):
+        try:
+            jsonl.load_json(bad)
+            raise AssertionError(bad)
+        except ValueError:
+            pass
