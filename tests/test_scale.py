@@ -100,3 +100,16 @@ def test_artifacts_are_parsed_once(spark, data, tmp_path):
             raise AssertionError(bad)
         except ValueError:
             pass
+
+
+def test_views_stay_in_generated_code(spark):
+    """Raw values by engine take no lambda for a few engines; a text without white space at its ends takes no expression."""
+    from tallyframe.operators import enrich
+
+    kind = "c array<struct<engine_id:string,raw:struct<t:string,s:string>>>"
+    rows = [([(f"e{i}", ("str", 'a"') if i % 2 else None) for i in range(n)],) for n in (0, 1, 3, 6)]
+    got = [r[0] for r in spark.createDataFrame(rows, kind).select(enrich.raw_by_engine_json(F.col("c"))).collect()]
+    assert got == ["{" + ",".join(f'"e{i}":' + ('"a\\""' if i % 2 else "null") for i in range(n)) + "}" for n in (0, 1, 3, 6)]
+    texts = spark.createDataFrame([(("str", s),) for s in (" a ", "a b", "", " ", "a\n", "a  b")] + [(("bool", "true"),), (None,)], "v struct<t:string,s:string>")
+    assert [r[0] for r in texts.select(enrich.scalar_text(F.col("v"))).collect()] == ["a", "a b", None, None, "a", "a  b", "True", None]
+    assert "slice(" in plan(spark.createDataFrame(rows, kind).select(enrich.raw_by_engine_json(F.col("c"))))
