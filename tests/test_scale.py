@@ -113,3 +113,15 @@ def test_views_stay_in_generated_code(spark):
     texts = spark.createDataFrame([(("str", s),) for s in (" a ", "a b", "", " ", "a\n", "a  b")] + [(("bool", "true"),), (None,)], "v struct<t:string,s:string>")
     assert [r[0] for r in texts.select(enrich.scalar_text(F.col("v"))).collect()] == ["a", "a b", None, None, "a", "a  b", "True", None]
     assert "slice(" in plan(spark.createDataFrame(rows, kind).select(enrich.raw_by_engine_json(F.col("c"))))
+
+
+def test_folding_stays_out_of_lambdas(spark):
+    """Compatibility folding calls Python; rules that begin with it, and with white space, give what Python gives."""
+    from tallyframe.operators.normalize import Normalization, Rule
+
+    import unicodedata
+
+    samples = ["Ａ  b ", "a b", " é\t", "", None]
+    df = spark.createDataFrame([({"x": ("str", s) if s is not None else None},) for s in samples], "cells map<string,struct<t:string,s:string>>")
+    got = [r.v.s if r.v else None for r in normalized_rows(df, ["x"], Normalization(default=Rule())).select(F.col("norm")["x"]["value"].alias("v")).collect()]
+    assert got == [" ".join(unicodedata.normalize("NFKC", s).split()) or None if s is not None else None for s in samples]
